@@ -46,7 +46,7 @@ def ingest_stream(
         scanned, bad = scan_files(batch)
         for row in bad.toLocalIterator():
             print(f"skipped {row['path']}: {row['error']}")
-        if scanned.columns[:1] != ["source_path"]:
+        if "meta_id" in scanned.columns:
             store(session, scanned, KINDS[kind], table, now())
 
     return (
