@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from ..model import MONTHS
-from .text import as_column
+from .text import as_column, whole_number
 
-FILE_DATE = r"(\d{4})-(\d{2})-(\d{2})"
+FILE_DATE = r"\d{4}-\d{2}-\d{2}"
 ARCHIVE_SLOT = r"0_\d{4}-\d{2}-\d{2}_(\d{2}_\d{2})\.tar\.xz"
 FOLDER = r"^([a-z]+)_([0-9]{4})_([a-z]+)$"
 
@@ -31,21 +31,23 @@ def has_file_date(name) -> Column:
     return as_column(name).rlike(FILE_DATE)
 
 
-def _file_part(name, group: int) -> Column:
-    # No match gives '', which try_cast turns into null.
-    return F.regexp_extract(as_column(name), FILE_DATE, group).try_cast("int")
+def _file_part(name, start: int, length: int) -> Column:
+    # The same extract in all three parts, so Spark runs it once per row.
+    found = F.nullif(F.regexp_extract(as_column(name), FILE_DATE, 0), F.lit(""))
+    return F.substring(found, start, length).cast("int")
 
 
 def file_year(name) -> Column:
-    return _file_part(name, 1)
+    """Year of the first date in a name, null where there is none."""
+    return _file_part(name, 1, 4)
 
 
 def file_month(name) -> Column:
-    return _file_part(name, 2)
+    return _file_part(name, 6, 2)
 
 
 def file_day(name) -> Column:
-    return _file_part(name, 3)
+    return _file_part(name, 9, 2)
 
 
 def slot_of_archive(name) -> Column:
@@ -66,7 +68,7 @@ def _month_names() -> Column:
 def month_number(text) -> Column:
     """Month of a name, an abbreviation or a number 1..12, whatever the case; else null."""
     low = F.lower(as_column(text))
-    number = low.try_cast("int")
+    number = whole_number(low, "int")
     return F.coalesce(
         F.element_at(_month_names(), low),
         F.when(number.between(1, 12), number),
@@ -107,7 +109,7 @@ def parse_folder(name) -> Column:
     """
     text = as_column(name)
     fits = text.rlike(FOLDER)
-    year = F.regexp_extract(text, FOLDER, 2).try_cast("int")
+    year = F.nullif(F.regexp_extract(text, FOLDER, 2), F.lit("")).cast("int")
     month = folder_month(text)
     good = fits & month.isNotNull()
     return F.struct(

@@ -31,6 +31,20 @@ def fill_template(template: str, text, slot: str = "{content_text}") -> Column:
     return F.replace(F.lit(template), F.lit(slot), as_column(text))
 
 
-def words(text) -> Column:
-    """Lower-case words of a text, in order, without empty ones."""
-    return F.filter(F.split(F.lower(as_column(text)), _NOT_WORD), lambda w: w != "")
+def split_words(text) -> Column:
+    """Lower-case words of a text in order, with empty ones where it starts or ends otherwise."""
+    return F.split(F.lower(as_column(text)), _NOT_WORD)
+
+
+def split_fields(line, separator: str = ",") -> Column:
+    """Fields of a stripped line, each without white space around it."""
+    return F.split(as_column(line), rf"(?U)[{_SPACE}]*{separator}[{_SPACE}]*")
+
+
+def whole_number(text, kind: str = "bigint") -> Column:
+    """The number a text spells, null for anything else.
+
+    Looking first is much cheaper than a ``try_cast`` that fails, which costs an exception.
+    """
+    value = as_column(text)
+    return F.when(value.rlike(r"^[+-]?[0-9]+$"), value.try_cast(kind))

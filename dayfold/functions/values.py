@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, functions as F
 
 from ..model import SAMPLES_PER_SECOND
@@ -79,3 +81,19 @@ def argmax_index(scores) -> Column:
     """0-based place of the first highest score."""
     values = as_column(scores)
     return (F.array_position(values, F.array_max(values)) - 1).cast("int")
+
+
+def common_type(types: Iterable[str]) -> str:
+    """The type that holds values of all the given types; text when nothing narrower does."""
+    kinds = set(types) - {"null"}
+    whole = ["tinyint", "smallint", "int", "bigint"]
+    real = ["float", "double"]
+    if not kinds:
+        return "string"
+    if len(kinds) == 1:
+        return kinds.pop()
+    if kinds <= set(whole):
+        return max(kinds, key=whole.index)
+    if kinds <= {*whole, *real, "boolean"}:
+        return "double"
+    return "string"

@@ -11,19 +11,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import words
+from ..functions import split_words
 from ..model import STOP_WORDS
 
 
 def postings(df: DataFrame, doc: str, text: str) -> DataFrame:
     """Times that each document holds each token.
 
-    Tokens are counted within each text first, so what is shuffled is one row per token and
-    document; with one row per document there is nothing left to add up.
+    Counts are combined before the shuffle, which goes by token and document, so common words
+    are spread over all tasks.
     """
-    kept = F.filter(words(text), lambda w: ~w.isin(STOP_WORDS))
-    tokens = df.select(F.col(doc).alias("doc"), F.explode(kept).alias("token"))
-    return tokens.groupBy("token", "doc").agg(F.count("*").alias("times"))
+    tokens = df.select(F.col(doc).alias("doc"), F.explode(split_words(text)).alias("token"))
+    kept = tokens.filter((F.col("token") != "") & ~F.col("token").isin(STOP_WORDS))
+    return kept.groupBy("token", "doc").agg(F.count("*").alias("times"))
 
 
 def write_postings(df: DataFrame, path: str) -> None:

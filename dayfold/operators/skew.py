@@ -2,24 +2,55 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions import common_type
+
 HOT_ROWS = 2_000_000
 SALTS = 16
 
+# Keys that may be salted, and keys the frequency sketch tracks to find them. A key outside the
+# first thousand holds less than a thousandth of the rows, which needs no salt.
+MOST_HOT_KEYS = 1000
+TRACKED_KEYS = 20_000
+
+
+def _shared_type(key: str, a: str, b: str) -> str:
+    """The type to hash a key by, so that keys that are equal hash alike on both sides."""
+    numbers = {"tinyint", "smallint", "int", "bigint", "float", "double"}
+    if a == b and a not in ("float", "double"):
+        return a
+    if {a, b} <= numbers:
+        return common_type([a, b, "double"]) if {a, b} & {"float", "double"} else common_type([a, b])
+    if all(t in numbers or t.startswith("decimal") for t in (a, b)):
+        return "double"
+    raise TypeError(f"key {key} is {a} on the left and {b} on the right")
+
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows.
+def key_hash(keys: Sequence[str], types: Mapping[str, str]) -> Column:
+    """One number per key; equal keys get equal numbers whatever type their side has."""
+    parts = []
+    for k in keys:
+        part = F.col(k).cast(types[k])
+        parts.append(part + F.lit(0.0) if types[k] == "double" else part)
+    return F.xxhash64(*parts)
 
-    There are at most ``rows / hot_rows`` of them (50,000 for 10^11 rows), which bounds what
-    a broadcast of this table holds. Only the key columns are read, and counts are combined
-    before the shuffle.
+
+def hot_keys(df: DataFrame, keys: Sequence[str], types: Mapping[str, str], hot_rows: int) -> DataFrame:
+    """Hashes of keys with more than ``hot_rows`` rows, ``MOST_HOT_KEYS`` at most.
+
+    A frequency sketch finds them: one pass over the key columns, in which each task sends one
+    sketch of fixed size instead of its keys. The sketch only decides how rows are spread; the
+    joined rows do not depend on it.
     """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("__n"))
-    return counts.filter(F.col("__n") > hot_rows).select(*keys)
+    sketch = F.expr(f"approx_top_k(__hash, {MOST_HOT_KEYS}, {TRACKED_KEYS})")
+    top = df.select(key_hash(keys, types).alias("__hash")).agg(sketch.alias("top"))
+    return top.select(F.inline("top")).filter(F.col("count") > hot_rows).select(
+        F.col("item").alias("__hash")
+    )
 
 
 def all_equal(left: str, right: str, keys: Sequence[str], null_safe: Sequence[str]) -> Column:
@@ -52,22 +83,22 @@ def salted_inner_join(
     columns that tell the rows of one key apart (default: all). Apart from the keys the sides
     must not share column names.
     """
-    hot = hot_keys(left, keys, hot_rows).withColumn("__side", F.lit(1)).unionByName(
-        hot_keys(right, keys, hot_rows).withColumn("__side", F.lit(2))
+    types = {k: _shared_type(k, dict(left.dtypes)[k], dict(right.dtypes)[k]) for k in keys}
+    hot = hot_keys(left, keys, types, hot_rows).withColumn("__side", F.lit(1)).unionByName(
+        hot_keys(right, keys, types, hot_rows).withColumn("__side", F.lit(2))
     )
-    # Two rows per key at most, so the broadcast keeps the bound given in hot_keys.
-    hot = hot.groupBy(*keys).agg(F.sum("__side").alias("__side"))
+    # At most MOST_HOT_KEYS rows of each side: that bounds the broadcast.
+    hot = hot.groupBy("__hash").agg(F.sum("__side").alias("__side"))
 
     def cells(df: DataFrame, spread: Sequence[str], own: str, other: str, own_bit: int) -> DataFrame:
-        side = F.coalesce(F.col("h.__side"), F.lit(0))
+        side = F.coalesce("__side", F.lit(0))
         own_hot = side.bitwiseAND(own_bit) > 0
         other_hot = side.bitwiseAND(3 - own_bit) > 0
-        number = F.pmod(F.xxhash64(*[f"d.{c}" for c in spread]), F.lit(salts)).cast("int")
+        number = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
         all_numbers = F.sequence(F.lit(0), F.lit(salts - 1))
-        return df.alias("d").join(
-            F.broadcast(hot.alias("h")), all_equal("d", "h", keys, keys), "left"
-        ).select(
-            "d.*",
+        hashed = df.withColumn("__hash", key_hash(keys, types))
+        return hashed.join(F.broadcast(hot), "__hash", "left").select(
+            *df.columns,
             F.when(own_hot, number).otherwise(0).alias(own),
             F.explode(F.when(other_hot, all_numbers).otherwise(F.array(F.lit(0)))).alias(other),
         )

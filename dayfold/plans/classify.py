@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions import base_name, file_day, file_month, file_year
 from ..operators.enrich import classified_join
 from ..operators.quality import require_columns
 from ..operators.scoring import MakeScorer, score_resumable
-from ..sources.drops import scan_kind, with_file_date
+from ..sources.drops import list_files, scan_files, scan_kind, with_file_date
 from ..sources.results import load_classified, write_result
 
 ROW_KEY = ["source_filename", "row_index"]
@@ -31,8 +32,16 @@ def classify(
 
 
 def merge(spark: SparkSession, classified_path: str, root: str, output: str) -> DataFrame:
-    """Classified rows joined to all metadata drops under a folder, written and read back."""
+    """Classified rows joined to the metadata drops under a folder, written and read back.
+
+    Drops of days that have no classified rows are left out of the scan by their names.
+    """
     classified = load_classified(spark, classified_path)
-    metadata, _ = scan_kind(spark, root, "metadata", recursive=True)
+    name = base_name("path")
+    drops = list_files(spark, root, "*_metadata.parquet", recursive=True).withColumns({
+        "year": file_year(name), "month": file_month(name), "day": file_day(name),
+    })
+    days = classified.select("year", "month", "day").distinct()
+    metadata, _ = scan_files(drops.join(days, ["year", "month", "day"], "left_semi"))
     write_result(classified_join(classified, with_file_date(metadata, day="day")), output)
     return spark.read.parquet(output)

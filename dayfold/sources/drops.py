@@ -9,7 +9,7 @@ row of work. Every readable row is kept, and every unreadable file is reported.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
@@ -20,7 +20,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ..functions import file_day, file_month, file_year, flag, has_file_date
+from ..functions import common_type, file_day, file_month, file_year, flag, has_file_date
 from ..model import KINDS, Kind
 from ..operators.keyed import keep_last
 from ..operators.quality import refuse_case_clash
@@ -108,22 +108,6 @@ def _type(text: str) -> T.DataType:
     return T.StructType.fromDDL(f"c {text}").fields[0].dataType
 
 
-def common_type(types: Iterable[str]) -> str:
-    """The type that holds values of all the given types; text when nothing narrower does."""
-    kinds = set(types) - {"null"}
-    whole = ["tinyint", "smallint", "int", "bigint"]
-    real = ["float", "double"]
-    if not kinds:
-        return "string"
-    if len(kinds) == 1:
-        return kinds.pop()
-    if kinds <= set(whole):
-        return max(kinds, key=whole.index)
-    if kinds <= {*whole, *real, "boolean"}:
-        return "double"
-    return "string"
-
-
 def _groups(mixes: list[dict[str, str]]) -> list[dict]:
     """Put type mixes together as long as no column has two types; missing columns agree."""
     groups: list[dict] = []

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..functions import in_day_range, in_year_range, month_number, strip
+from ..functions import in_day_range, in_year_range, month_number, split_fields, strip, whole_number
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -39,26 +39,26 @@ def parse_lines(lines: DataFrame, *carry: str) -> tuple[DataFrame, DataFrame]:
     Blank lines and lines that start with ``#`` are neither. The first rule that a line breaks
     gives the reason.
     """
-    text = strip("line")
-    parts = F.transform(F.split(text, ","), strip)
-    fields = (
-        lines.withColumn("text", text)
-        .filter((F.col("text") != "") & ~F.col("text").startswith("#"))
-        .withColumn("parts", parts)
-        .withColumns({
-            "year": F.get("parts", F.lit(0)).try_cast("bigint"),
-            "month": month_number(F.get("parts", F.lit(1))),
-            "date": F.get("parts", F.lit(2)).try_cast("bigint"),
-            "location": F.get("parts", F.lit(3)),
-        })
-        .withColumn(
-            "reason",
-            F.when(F.size("parts") != 4, "field_count")
-            .when(F.col("year").isNull() | F.col("date").isNull(), "not_integer")
-            .when(F.col("month").isNull(), "bad_month")
-            .when(~in_year_range("year"), "year_range")
-            .when(~in_day_range("date"), "day_range"),
-        )
+    texts = lines.withColumn("text", strip("line")).filter(
+        (F.col("text") != "") & ~F.col("text").startswith("#")
+    )
+    fields = texts.select(*carry, "line", split_fields("text").alias("parts")).select(
+        *carry, "line",
+        # As a generator this is evaluated once; the filters below would repeat plain columns.
+        F.inline(F.array(F.struct(
+            F.size("parts").alias("n"),
+            whole_number(F.get("parts", F.lit(0))).alias("year"),
+            month_number(F.get("parts", F.lit(1))).alias("month"),
+            whole_number(F.get("parts", F.lit(2))).alias("date"),
+            F.get("parts", F.lit(3)).alias("location"),
+        ))),
+    ).withColumn(
+        "reason",
+        F.when(F.col("n") != 4, "field_count")
+        .when(F.col("year").isNull() | F.col("date").isNull(), "not_integer")
+        .when(F.col("month").isNull(), "bad_month")
+        .when(~in_year_range("year"), "year_range")
+        .when(~in_day_range("date"), "day_range"),
     )
     entries = fields.filter(F.col("reason").isNull()).select(
         *carry, F.col("year").cast("int"), "month", F.col("date").cast("int"), "location"

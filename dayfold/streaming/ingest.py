@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -11,6 +13,8 @@ from ..sources.drops import scan_files
 
 FILES_PER_BATCH = 5000
 
+log = logging.getLogger(__name__)
+
 
 def arrivals(spark: SparkSession, root: str, pattern: str, files_per_batch: int) -> DataFrame:
     """A stream of the names of new files. Their bytes are not read, so drifting types do no harm."""
@@ -45,7 +49,7 @@ def ingest_stream(
         session = batch.sparkSession
         scanned, bad = scan_files(batch)
         for row in bad.toLocalIterator():
-            print(f"skipped {row['path']}: {row['error']}")
+            log.warning("skipped %s: %s", row["path"], row["error"])
         if "meta_id" in scanned.columns:
             store(session, scanned, KINDS[kind], table, now())
 

@@ -38,7 +38,17 @@ def test_right_side_hot_only(frame):
 
 def test_hot_keys(frame):
     df = frame([("a",)] * 5 + [(None,)] * 4 + [("b",)], "k string")
-    assert rows(skew.hot_keys(df, ["k"], 3)) == [("a",), (None,)]
+    hot = skew.hot_keys(df, ["k"], {"k": "string"}, 3)
+    hashes = df.select("k", skew.key_hash(["k"], {"k": "string"}).alias("__hash")).distinct()
+    assert rows(hashes.join(hot, "__hash"), "k") == [("a",), (None,)]
+
+
+@pytest.mark.parametrize("hot_rows", [100, 5])
+def test_join_of_different_number_types(frame, hot_rows):
+    left = frame([(1, i) for i in range(9)] + [(2, 99)], "k int, a int")
+    right = frame([(1.0, i) for i in range(7)] + [(-0.0, 5)], "k double, b int")
+    out = skew.salted_inner_join(left, right, ["k"], hot_rows=hot_rows, salts=3)
+    assert out.count() == 63 and out.distinct().count() == 63
 
 
 def test_join_refuses_mixed_and_missing_keys(frame):

@@ -78,9 +78,11 @@ def test_template_is_literal(spark):
     assert one(spark, f.fill_template("A {content_text} B", "t"), t=text) == f"A {text} B"
 
 
-def test_words(frame):
-    assert column(frame, ["Été, der_Tag 42! don't"], "string", f.words("v")) == \
+def test_split(frame):
+    assert column(frame, ["Été, der_Tag 42! don't"], "string", f.split_words("v")) == \
         [["été", "der_tag", "42", "don", "t"]]
+    line = "a ,\u00a0b c,\td,,"
+    assert column(frame, [line], "string", f.split_fields("v")) == [[p.strip() for p in line.split(",")]]
 
 
 def test_flags_match_pandas(frame):
