@@ -50,6 +50,7 @@ def classified_join(
     return salted_inner_join(left, right, keys, keys[:1], hot_rows=hot_rows, salts=salts)
 
 
+# Columns that the views show, in order.
 VIEW_METADATA = [
     "author_nickname", "author_uniqueid", "music_title", "stats_playcount", "stats_diggcount",
     "stats_commentcount", "video_duration", "country", "poi_name", "poi_city", "meta_desc",

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from ..model import KINDS, Kind
@@ -22,17 +24,19 @@ def store(spark: SparkSession, scanned: DataFrame, kind: Kind, table: str, now)
 def ingest(
     spark: SparkSession, root: str, tables: str, now, kinds: Sequence[str] = tuple(KINDS), **scan
 ) -> dict[str, dict]:
-    """Ingest the drops under a folder, one kind at a time, into ``<tables>/<kind>``.
+    """Ingest the drops under a folder into ``<tables>/<kind>``, all kinds side by side.
 
-    A kind that fails does not stop the next. Gives, per kind, the unreadable files, the rows
+    A kind that fails does not stop the others. Gives, per kind, the unreadable files, the rows
     set aside, or the error.
     """
-    outcome: dict[str, dict] = {}
-    for name in kinds:
+
+    def one(name: str) -> dict:
         try:
             scanned, bad = scan_kind(spark, root, name, **scan)
             aside = store(spark, scanned, KINDS[name], f"{tables}/{name}", now)
-            outcome[name] = {"bad_files": bad, "null_keys": aside, "error": None}
+            return {"bad_files": bad, "null_keys": aside, "error": None}
         except Exception as error:  # noqa: BLE001 - reported per kind
-            outcome[name] = {"bad_files": None, "null_keys": None, "error": str(error)}
-    return outcome
+            return {"bad_files": None, "null_keys": None, "error": str(error)}
+
+    with ThreadPoolExecutor(len(kinds)) as pool:
+        return dict(zip(kinds, pool.map(inheritable_thread_target(spark)(one), kinds)))

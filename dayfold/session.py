@@ -7,19 +7,28 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings a job should run with on any cluster. The sizes are Spark's own units for
-# splitting and merging shuffle partitions, so one plan fits 10 MB and 100 TB alike.
+# Session settings a job should run with on any cluster. The sizes are Spark's own units for
+# splitting and merging shuffle partitions, so one plan fits 10 MB and 100 TB alike. The bound
+# on Arrow batches keeps rows with long texts from filling a Python worker.
 RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Give a running session the recommended settings."""
+    for name, value in RECOMMENDED.items():
+        spark.conf.set(name, value)
+    return spark
+
+
 def local_session(cores: int | str = "*", app: str = "dayfold", **extra: str) -> SparkSession:
     """A local session for tests and benchmarks."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)

@@ -16,7 +16,6 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -24,17 +23,21 @@ from ..functions import common_type, file_day, file_month, file_year, flag, has_
 from ..model import KINDS, Kind
 from ..operators.keyed import keep_last
 from ..operators.quality import refuse_case_clash
+from ..session import work_path
 
 STRICT_NAME = r"_\d{4}-\d{2}-\d{2}_\d{2}_\d{2}_[a-z]+\.parquet$"
 FILE_ORDER = ["source_filename", "source_path", "row_index"]
-LOCATION = T.StructType([
+LOCATION = [
     T.StructField("source_path", T.StringType()),
     T.StructField("source_filename", T.StringType()),
     T.StructField("row_index", T.LongType()),
-])
+]
 
-# Groups of files read by Spark's reader; files of rarer type mixes are read through Arrow.
+# Groups of files read by Spark's reader, type mixes looked at to form them, and files whose
+# names the driver may list for one group. Files beyond these bounds are read through Arrow.
 MAX_GROUPS = 8
+MAX_MIXES = 2000
+MAX_LISTED_FILES = 200_000
 FOOTERS_PER_TASK = 200
 
 _FOOTERS = (
@@ -145,7 +148,7 @@ def _read_native(
 
 def _read_with_arrow(footers: DataFrame, target: T.StructType) -> DataFrame:
     """Files read row group by row group and cast to the common types."""
-    output = T.StructType([*target.fields, *LOCATION.fields])
+    output = T.StructType([*target.fields, *LOCATION])
     arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in output.fields])
     wanted = target.fieldNames()
     groups = footers.select(
@@ -200,39 +203,47 @@ def scan_files(
     so their names never pass through the driver.
     """
     spark = files.sparkSession
-    tasks = max(1, min(spark.sparkContext.defaultParallelism * 4, files.count() // FOOTERS_PER_TASK))
-    footers = read_footers(files.repartition(tasks)).persist(StorageLevel.MEMORY_AND_DISK)
+    at_once = spark.sparkContext.defaultParallelism * 4
+    tasks = max(1, min(at_once, files.count() // FOOTERS_PER_TASK))
+    path = work_path(spark, "footers")
+    read_footers(files.repartition(tasks)).write.parquet(path)
+    footers = spark.read.schema(_FOOTERS).parquet(path)
     bad = footers.filter(F.col("error").isNotNull()).select("path", "error")
     good = footers.filter(F.col("error").isNull())
 
-    # Type mixes, the most frequent first; there are few, however many files there are.
-    found = good.groupBy("columns").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "columns").collect()
-    texts = [r["columns"] for r in found]
-    mixes = [json.loads(t) for t in texts]
-    names = list(dict.fromkeys(c for mix in mixes for c in mix))
-    refuse_case_clash(names)
-    if columns is not None:
-        names = [c for c in columns if c in names]
-        mixes = [{c: mix[c] for c in names if c in mix} for mix in mixes]
-    target = T.StructType([
-        T.StructField(c, _type(common_type(m[c] for m in mixes if c in m)))
-        for c in names
-    ])
-    if not mixes:
-        return spark.createDataFrame([], T.StructType([*target.fields, *LOCATION.fields])), bad
-
-    groups = _groups(mixes)
-    if len(groups) == 1 and root is not None and bad.isEmpty():
+    # One row per column and type it has anywhere: as many as the schema is wide.
+    seen = good.select(F.explode(F.from_json("columns", "map<string,string>"))).distinct().collect()
+    kinds: dict[str, set[str]] = {}
+    for name, kind in sorted(map(tuple, seen)):
+        kinds.setdefault(name, set()).add(kind)
+    refuse_case_clash(list(kinds))
+    wanted = list(kinds) if columns is None else [c for c in columns if c in kinds]
+    target = T.StructType([T.StructField(c, _type(common_type(kinds[c]))) for c in wanted])
+
+    # The type mixes of most files. Files of all other mixes go through Arrow, by row of work.
+    found = good.groupBy("columns").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "columns")
+    mixes = found.limit(MAX_MIXES).collect()
+    total = good.count()
+    groups = _groups([{c: t for c, t in json.loads(m["columns"]).items() if c in wanted} for m in mixes])
+    complete = sum(m["n"] for m in mixes) == total
+    if complete and len(groups) == 1 and root is not None and bad.isEmpty():
         return _read_native(spark, root, groups[0]["types"], target, **options), bad
-    parts = []
+
+    parts, native, done = [], [], 0
     for group in groups[:max_groups]:
-        members = [texts[i] for i in group["members"]]
-        paths = [r["path"] for r in good.filter(F.col("columns").isin(members)).select("path").collect()]
-        parts.append(_read_native(spark, paths, group["types"], target))
-    rare = [texts[i] for group in groups[max_groups:] for i in group["members"]]
-    if rare:
-        parts.append(_read_with_arrow(good.filter(F.col("columns").isin(rare)), target))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), bad
+        members = [mixes[i]["columns"] for i in group["members"]]
+        n = sum(mixes[i]["n"] for i in group["members"])
+        if n > MAX_LISTED_FILES:
+            continue
+        paths = good.filter(F.col("columns").isin(members)).select("path").collect()
+        parts.append(_read_native(spark, [r["path"] for r in paths], group["types"], target))
+        native, done = native + members, done + n
+    if done < total:
+        rest = good.filter(~F.col("columns").isin(native)) if native else good
+        parts.append(_read_with_arrow(rest, target))
+    if not parts:
+        return spark.createDataFrame([], T.StructType([*target.fields, *LOCATION])), bad
+    return reduce(DataFrame.unionByName, parts), bad
 
 
 def scan_kind(

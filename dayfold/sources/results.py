@@ -13,7 +13,7 @@ from ..operators.quality import require_columns
 from ..session import work_path
 
 # Days listed in a partition filter; beyond this many a semi-join does the pruning.
-MAX_LISTED_DAYS = 4000
+MAX_LISTED_DAYS = 1000
 
 
 def exists(spark: SparkSession, path: str) -> bool:
