@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# White space as Python's str.strip sees it: Unicode white space and the four separators.
+# White space as Python's str.strip sees it, as a class and as characters.
 _SPACE = r"\s\x1c-\x1f"
+_SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 _NOT_WORD = r"[^\p{L}\p{M}\p{N}_]+"
 
 
@@ -14,7 +18,7 @@ def as_column(value) -> Column:
 
 
 def strip(text) -> Column:
-    return F.regexp_replace(as_column(text), rf"(?U)^[{_SPACE}]+|[{_SPACE}]+$", "")
+    return F.btrim(as_column(text), F.lit(_SPACES))
 
 
 def nonblank(text) -> Column:
@@ -36,11 +40,6 @@ def split_words(text) -> Column:
     return F.split(F.lower(as_column(text)), _NOT_WORD)
 
 
-def split_fields(line, separator: str = ",") -> Column:
-    """Fields of a stripped line, each without white space around it."""
-    return F.split(as_column(line), rf"(?U)[{_SPACE}]*{separator}[{_SPACE}]*")
-
-
 def whole_number(text, kind: str = "bigint") -> Column:
     """The number a text spells, null for anything else.
 

@@ -58,11 +58,13 @@ def score(
     """Rows with non-blank text plus token, label, probabilities and, if scoring failed, an error.
 
     ``spread_by`` names unique columns to redistribute rows by, for input whose files differ
-    much in size and a scorer that costs far more than a shuffle.
+    much in size and a scorer that costs far more than a shuffle. The rows then go to all
+    shuffle partitions: adaptive execution would merge them by size, not by scoring time.
     """
     rows = df.filter(nonblank(text))
     if spread_by:
-        rows = rows.repartition(*spread_by)
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = rows.repartition(tasks, *spread_by)
     prompt = fill_template(template, text) if template else F.col(text)
     rows = rows.withColumn(PROMPT, prompt)
     schema = T.StructType([f for f in rows.schema.fields if f.name != PROMPT] + SCORE_FIELDS)

@@ -21,12 +21,16 @@ RESULT_COLUMNS = [
 def classify(
     spark: SparkSession, root: str, make_scorer: MakeScorer, path: str, **options
 ) -> tuple[DataFrame, DataFrame]:
-    """Results and failures of all subtitles under a folder; a second run does what is left."""
+    """Results and failures of all subtitles under a folder; a second run does what is left.
+
+    Rows are spread over all tasks by default, since scoring costs far more than moving them.
+    """
     scanned, _ = scan_kind(spark, root, "subtitles", strict=True)
     require_columns(scanned, ["content"], "subtitles")
     rows = with_file_date(scanned, day="day").select(
         "meta_id", *ROW_KEY, "year", "month", "day", "content"
     )
+    options = {"spread_by": ROW_KEY, **options}
     done, failed = score_resumable(rows, "content", make_scorer, ROW_KEY, path, **options)
     return done.select(*RESULT_COLUMNS), failed
 

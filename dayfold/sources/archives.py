@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import base_name
-from .drops import list_files, open_file
+from .drops import list_files, one_task_each, open_file
 
 ARCHIVE_PATTERN = "*.{tar,tar.gz,tar.xz}"
 BATCH_BYTES = 64 << 20
@@ -65,7 +65,7 @@ def explode_archives(
             for path in frame["path"]:
                 yield from frames_of(path)
 
-    found = archives.select("path").repartition("path").mapInPandas(run, schema)
+    found = one_task_each(archives.select("path")).mapInPandas(run, schema)
     kept = found.filter(F.col("error").isNull()).drop("error")
     return (kept if content else kept.drop("content")), found.filter(
         F.col("error").isNotNull()

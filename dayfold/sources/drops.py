@@ -39,6 +39,7 @@ MAX_GROUPS = 8
 MAX_MIXES = 2000
 MAX_LISTED_FILES = 200_000
 FOOTERS_PER_TASK = 200
+MAX_TASKS = 20_000
 
 _FOOTERS = (
     "path string, length long, row_groups array<long>, columns string, error string"
@@ -58,6 +59,14 @@ def list_files(
     )
 
 
+def one_task_each(items: DataFrame) -> DataFrame:
+    """Spread rows that stand for much work over as many tasks, evenly.
+
+    The number is given, as adaptive execution would put a few thousand names in one task.
+    """
+    return items.repartition(max(1, min(items.count(), MAX_TASKS)))
+
+
 def open_file(path: str):
     """File system and path of a location as Spark writes it."""
     for ours, theirs in (("s3a://", "s3://"), ("s3n://", "s3://")):
@@ -157,7 +166,7 @@ def _read_with_arrow(footers: DataFrame, target: T.StructType) -> DataFrame:
         "path", "group",
         F.aggregate(F.slice("row_groups", 1, F.col("group")), F.lit(0).cast("long"),
                     lambda a, x: a + x).alias("first"),
-    ).repartition("path", "group")
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,7 +194,7 @@ def _read_with_arrow(footers: DataFrame, target: T.StructType) -> DataFrame:
                         at += n
                         yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    return groups.mapInArrow(run, output)
+    return one_task_each(groups).mapInArrow(run, output)
 
 
 def scan_files(

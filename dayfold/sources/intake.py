@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..functions import in_day_range, in_year_range, month_number, split_fields, strip, whole_number
+from ..functions import in_day_range, in_year_range, month_number, strip, whole_number
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -42,15 +42,18 @@ def parse_lines(lines: DataFrame, *carry: str) -> tuple[DataFrame, DataFrame]:
     texts = lines.withColumn("text", strip("line")).filter(
         (F.col("text") != "") & ~F.col("text").startswith("#")
     )
-    fields = texts.select(*carry, "line", split_fields("text").alias("parts")).select(
+    def field(place: int):
+        return strip(F.get("parts", F.lit(place)))
+
+    fields = texts.select(*carry, "line", F.split("text", ",").alias("parts")).select(
         *carry, "line",
         # As a generator this is evaluated once; the filters below would repeat plain columns.
         F.inline(F.array(F.struct(
             F.size("parts").alias("n"),
-            whole_number(F.get("parts", F.lit(0))).alias("year"),
-            month_number(F.get("parts", F.lit(1))).alias("month"),
-            whole_number(F.get("parts", F.lit(2))).alias("date"),
-            F.get("parts", F.lit(3)).alias("location"),
+            whole_number(field(0)).alias("year"),
+            month_number(field(1)).alias("month"),
+            whole_number(field(2)).alias("date"),
+            field(3).alias("location"),
         ))),
     ).withColumn(
         "reason",

@@ -18,16 +18,17 @@ def status_stream(
     """Fold new status events into the state of their days, then stop.
 
     State is one row per day, whatever the number of events, and events may come late or out of
-    order. Each micro-batch writes the changed days to a folder of its own, which a repeated
-    batch overwrites, so every batch counts once.
+    order. Each micro-batch writes the whole state, marked with its number, to one of two
+    folders in turn: a batch that is repeated overwrites its own folder, and one that fails
+    leaves the other as it was.
     """
 
     def save(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        batch.withColumn("epoch", F.lit(epoch)).write.mode("overwrite").parquet(f"{path}/turn={epoch % 2}")
 
     return (
         fold_status(events, day, ts, seq)
-        .writeStream.outputMode("update")
+        .writeStream.outputMode("complete")
         .foreachBatch(save)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -37,5 +38,4 @@ def status_stream(
 
 def current_status(spark: SparkSession, path: str, day: Sequence[str] = DAY) -> DataFrame:
     """The latest saved state of every day."""
-    saved = spark.read.parquet(path).withColumn("epoch", F.col("epoch").cast("long"))
-    return keep_last(saved, list(day), ["epoch"]).drop("epoch")
+    return keep_last(spark.read.parquet(path), list(day), ["epoch"]).drop("epoch", "turn")

@@ -81,8 +81,12 @@ def test_template_is_literal(spark):
 def test_split(frame):
     assert column(frame, ["Été, der_Tag 42! don't"], "string", f.split_words("v")) == \
         [["été", "der_tag", "42", "don", "t"]]
-    line = "a ,\u00a0b c,\td,,"
-    assert column(frame, [line], "string", f.split_fields("v")) == [[p.strip() for p in line.split(",")]]
+
+
+def test_every_space_is_stripped(frame):
+    spaces = [chr(i) for i in range(0x3100) if chr(i).isspace()]
+    assert column(frame, [c + "x" + c for c in spaces], "string", f.strip("v")) == ["x"] * len(spaces)
+    assert column(frame, spaces, "string", f.nonblank("v")) == [False] * len(spaces)
 
 
 def test_flags_match_pandas(frame):

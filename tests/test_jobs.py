@@ -126,6 +126,7 @@ def test_archives(spark, tars, monkeypatch):
     monkeypatch.setattr(archives, "BATCH_BYTES", 1)
     found = archives.scan_archives(spark, tars)
     assert found.count() == 3
+    assert archives.explode_archives(found)[0].rdd.getNumPartitions() == 3
     members, failed = archives.explode_archives(found, content=True)
     assert rows(members, "member", "size", F.length("content")) == [
         ("d/one.mp3", 2, 2), ("four.mp3", 50000, 50000), ("three.mp3", 3, 3),
