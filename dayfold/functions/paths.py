@@ -8,7 +8,7 @@ from .text import as_column
 
 
 def base_name(path) -> Column:
-    return F.regexp_extract(as_column(path), r"([^/]*)$", 1)
+    return F.substring_index(as_column(path), "/", -1)
 
 
 def file_stem(path) -> Column:
@@ -28,7 +28,10 @@ def extension_swapped(archive, member, old=".mp3", new=".opus") -> Column:
 
 
 def storage_path(year, month, date, slot, name) -> Column:
-    return F.format_string(
-        "audio/%d/%02d/%02d/%s/%s",
-        as_column(year), as_column(month), as_column(date), as_column(slot), as_column(name),
-    )
+    """``audio/Y/MM/DD/slot/name``."""
+    two = [F.lpad(as_column(part).cast("string"), 2, "0") for part in (month, date)]
+    parts = [F.lit("audio"), as_column(year).cast("string"), *two, as_column(slot), as_column(name)]
+    joined = parts[0]
+    for part in parts[1:]:
+        joined = F.concat(joined, F.lit("/"), part)
+    return joined

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ...model import BUSINESS_KEY, DAY
 from ...operators import enrich
-from ..media import member_files, record_batch
+from ..media import member_files, recorded
 from . import derived
 from .derived import EVENTS_SQL, MEDIA_SQL
 from .registry import query, table
@@ -129,9 +129,8 @@ def record_members(spark, sf):
         F.lit(1).cast("long").alias("word_count"),
         F.col("value").alias("duration_seconds"),
     )
-    files, transcripts = record_batch(members, outcomes)
-    joined = enrich.files_with_transcripts(files, transcripts)
-    return joined.select(
-        F.col("audio_file_id").alias("id"), *BUSINESS_KEY, "file_path",
-        F.col("transcript_id").isNotNull().alias("has_transcript"), "duration_seconds",
+    has_transcript = F.col("transcript_text").isNotNull()
+    return recorded(members, outcomes).select(
+        "id", *BUSINESS_KEY, "file_path", has_transcript.alias("has_transcript"),
+        F.when(has_transcript, F.col("duration_seconds")).alias("duration_seconds"),
     )

@@ -38,26 +38,40 @@ def to_convert(members: DataFrame, outputs: DataFrame) -> DataFrame:
     return pending(members, outputs, "output_path")
 
 
-def record_batch(
+def recorded(
     members: DataFrame, outcomes: DataFrame, on: Sequence[str] = ("archive", "filename")
-) -> tuple[DataFrame, DataFrame]:
-    """File rows and transcript rows of the members that have an outcome.
+) -> DataFrame:
+    """Members that have an outcome and did not fail, with id, storage path and transcript.
 
-    Outcomes are matched by name, never by position. A failed member gives neither row; a
-    member without a transcript gives a file row only.
+    Outcomes are matched by name, never by position.
     """
     joined = members.join(outcomes, list(on), "inner").filter(F.col("error").isNull())
-    keyed = joined.withColumns({
+    return joined.withColumns({
         "id": surrogate_id(*BUSINESS_KEY),
         "file_path": storage_path(
             "year", "month", "date", "slot",
             F.regexp_replace("filename", r"\.mp3$", ".opus"),
         ),
     })
-    files = keyed.select("id", *BUSINESS_KEY, "filename", "file_path", "file_size_bytes")
-    transcripts = keyed.filter(F.col("transcript_text").isNotNull()).select(
+
+
+def file_rows(done: DataFrame) -> DataFrame:
+    return done.select("id", *BUSINESS_KEY, "filename", "file_path", "file_size_bytes")
+
+
+def transcript_rows(done: DataFrame) -> DataFrame:
+    """Transcripts of the recorded members that have one."""
+    return done.filter(F.col("transcript_text").isNotNull()).select(
         surrogate_id(F.lit("transcript"), "id").alias("id"),
         F.col("id").alias("audio_file_id"),
         "transcript_text", "word_count", "duration_seconds",
     )
-    return files, transcripts
+
+
+def record_batch(
+    members: DataFrame, outcomes: DataFrame, path: str, on: Sequence[str] = ("archive", "filename")
+) -> tuple[DataFrame, DataFrame]:
+    """File rows and transcript rows of a batch, joined once and kept under ``path``."""
+    recorded(members, outcomes, on).write.mode("overwrite").parquet(path)
+    done = members.sparkSession.read.parquet(path)
+    return file_rows(done), transcript_rows(done)

@@ -149,7 +149,7 @@ def test_media_day(spark, tars, frame):
         "transcript_text": F.when(F.col("filename") == "four.mp3", "hello world"),
         "word_count": F.lit(2).cast("long"), "duration_seconds": F.lit(1.5),
     })
-    stored_files, transcripts = media.record_batch(files, outcomes)
+    stored_files, transcripts = media.record_batch(files, outcomes, f"{tars}/recorded")
     assert rows(stored_files, "meta_id", "file_path") == [
         ("four", "audio/2025/01/31/23_40/four.opus"), ("three", "audio/2025/01/31/23_50/three.opus"),
     ]
