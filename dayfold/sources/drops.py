@@ -75,7 +75,7 @@ def open_file(path: str):
     return fs.FileSystem.from_uri(path)
 
 
-def _footer(path: str) -> tuple[list[int] | None, str | None, str | None]:
+def _footer(path: str, verify: bool) -> tuple[list[int] | None, str | None, str | None]:
     try:
         system, name = open_file(path)
         with system.open_input_file(name) as f:
@@ -86,6 +86,9 @@ def _footer(path: str) -> tuple[list[int] | None, str | None, str | None]:
             }
             meta = footer.metadata
             counts = [meta.row_group(i).num_rows for i in range(meta.num_row_groups)]
+            if verify:
+                for _ in footer.iter_batches():
+                    pass
         return counts, json.dumps(columns, sort_keys=True), None
     except Exception as error:  # noqa: BLE001 - any unreadable file is reported, not fatal
         return None, None, f"{type(error).__name__}: {error}"
@@ -101,12 +104,15 @@ def _spark_type(t: pa.DataType) -> str:
     return from_arrow_type(t, prefer_timestamp_ntz=True).simpleString()
 
 
-def read_footers(files: DataFrame) -> DataFrame:
-    """Row groups, columns and types, or an error, of each file."""
+def read_footers(files: DataFrame, verify: bool = False) -> DataFrame:
+    """Row groups, columns and types, or an error, of each file.
+
+    ``verify`` decodes all its pages as well, which finds files that broke below the footer.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            found = [_footer(p) for p in frame["path"]]
+            found = [_footer(p, verify) for p in frame["path"]]
             yield frame.assign(
                 row_groups=[f[0] for f in found],
                 columns=[f[1] for f in found],
@@ -202,6 +208,7 @@ def scan_files(
     columns: Sequence[str] | None = None,
     root: str | None = None,
     max_groups: int = MAX_GROUPS,
+    verify: bool = False,
     **options,
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of all readable files, and ``path, error`` of the unreadable ones.
@@ -209,13 +216,14 @@ def scan_files(
     Rows come with the common type of each column, null where a file lacks it, and with
     ``source_path``, ``source_filename`` and ``row_index``. ``columns`` limits what is read.
     With ``root`` and ``options`` given, files that all agree are read straight from the folder,
-    so their names never pass through the driver.
+    so their names never pass through the driver. A file whose footer is sound but whose pages
+    are not stops the job when it is read; ``verify`` reads all files first and reports it.
     """
     spark = files.sparkSession
     at_once = spark.sparkContext.defaultParallelism * 4
     tasks = max(1, min(at_once, files.count() // FOOTERS_PER_TASK))
     path = work_path(spark, "footers")
-    read_footers(files.repartition(tasks)).write.parquet(path)
+    read_footers(files.repartition(tasks), verify).write.parquet(path)
     footers = spark.read.schema(_FOOTERS).parquet(path)
     bad = footers.filter(F.col("error").isNotNull()).select("path", "error")
     good = footers.filter(F.col("error").isNull())
@@ -264,6 +272,7 @@ def scan_kind(
     pattern: str | None = None,
     columns: Sequence[str] | None = None,
     max_groups: int = MAX_GROUPS,
+    verify: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """All drops of a kind under a folder: their rows, and the files that could not be read.
 
@@ -273,8 +282,9 @@ def scan_kind(
     files = list_files(spark, root, pattern, recursive)
     options = {"pathGlobFilter": pattern, "recursiveFileLookup": str(recursive).lower()}
     if strict:
-        return scan_files(files.filter(F.col("path").rlike(STRICT_NAME)), columns, max_groups=max_groups)
-    return scan_files(files, columns, root, max_groups, **options)
+        strict_files = files.filter(F.col("path").rlike(STRICT_NAME))
+        return scan_files(strict_files, columns, max_groups=max_groups, verify=verify)
+    return scan_files(files, columns, root, max_groups, verify, **options)
 
 
 def scan_day(spark: SparkSession, root: str, kind: str, date: str, **more) -> tuple[DataFrame, DataFrame]:

@@ -142,3 +142,21 @@ def test_column_lists(spark):
     for kind in KINDS.values():
         assert set(kind.defaults) <= set(kind.table_schema.fieldNames())
         assert set(kind.key) <= set(kind.schema.fieldNames())
+
+
+def test_verify_finds_broken_pages(spark, folder):
+    import numpy as np
+
+    good, broken = f"{folder}/0_2025-01-01_00_00_metadata.parquet", f"{folder}/0_2025-01-01_00_10_metadata.parquet"
+    for path in (good, broken):
+        pd.DataFrame({"meta_id": [str(i) for i in np.arange(5000)]}).to_parquet(path)
+    data = bytearray(open(broken, "rb").read())
+    data[4:2000] = b"\xff" * 1996
+    with open(broken, "wb") as f:
+        f.write(data)
+    df, bad = drops.scan_kind(spark, folder, "metadata", verify=True)
+    assert df.count() == 5000 and [r["path"][-18:] for r in bad.collect()] == [broken[-18:]]
+    unseen, none = drops.scan_kind(spark, folder, "metadata")
+    assert none.isEmpty()
+    with pytest.raises(Exception):
+        unseen.select("meta_id").collect()
