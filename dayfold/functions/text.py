@@ -10,6 +10,9 @@ _SPACES = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
     "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
+# Fixed value: where a template takes the text.
+TEMPLATE_SLOT = "{content_text}"
+
 _NOT_WORD = r"[^\p{L}\p{M}\p{N}_]+"
 
 
@@ -30,9 +33,9 @@ def is_blank(text) -> Column:
     return ~nonblank(text)
 
 
-def fill_template(template: str, text, slot: str = "{content_text}") -> Column:
+def fill_template(template: str, text) -> Column:
     """The template with the text put in literally; null text gives null."""
-    return F.replace(F.lit(template), F.lit(slot), as_column(text))
+    return F.replace(F.lit(template), F.lit(TEMPLATE_SLOT), as_column(text))
 
 
 def split_words(text) -> Column:

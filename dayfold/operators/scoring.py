@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions import fill_template, label_of_token, nonblank
+from ..functions import TEMPLATE_SLOT, label_of_token, nonblank
 from ..session import work_path
 from ..sources.results import exists
 from .keyed import pending
@@ -19,7 +19,7 @@ from .keyed import pending
 Scorer = Callable[[list[str]], Sequence[tuple[str, float, float]]]
 MakeScorer = Callable[[], Scorer]
 
-PROMPT = "__prompt"
+SCORES = "__scores"
 SCORE_FIELDS = [
     T.StructField("decoded_token", T.StringType()),
     T.StructField("prob_0", T.DoubleType()),
@@ -57,29 +57,31 @@ def score(
 ) -> DataFrame:
     """Rows with non-blank text plus token, label, probabilities and, if scoring failed, an error.
 
-    ``spread_by`` names unique columns to redistribute rows by, for input whose files differ
-    much in size and a scorer that costs far more than a shuffle. The rows then go to all
-    shuffle partitions: adaptive execution would merge them by size, not by scoring time.
+    Only the text goes to Python and only the scores come back; all other columns stay in the
+    JVM. ``template`` puts each text into a prompt. ``spread_by`` names unique columns to
+    redistribute rows by, for input whose files differ much in size and a scorer that costs far
+    more than a shuffle. The rows then go to all shuffle partitions: adaptive execution would
+    merge them by size, not by scoring time.
     """
     rows = df.filter(nonblank(text))
     if spread_by:
         tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         rows = rows.repartition(tasks, *spread_by)
-    prompt = fill_template(template, text) if template else F.col(text)
-    rows = rows.withColumn(PROMPT, prompt)
-    schema = T.StructType([f for f in rows.schema.fields if f.name != PROMPT] + SCORE_FIELDS)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = make_scorer()
-        for frame in frames:
-            texts = frame.pop(PROMPT).tolist()
+        for part in parts:
+            prompts = [template.replace(TEMPLATE_SLOT, t) if template else t for t in part]
             scored: list[tuple] = []
-            for at in range(0, len(texts), batch_size):
-                scored += _score_rows(scorer, texts[at : at + batch_size])
-            added = pd.DataFrame(scored, columns=[f.name for f in SCORE_FIELDS], index=frame.index)
-            yield pd.concat([frame, added], axis=1)
-
-    scored = rows.mapInPandas(run, schema)
+            for at in range(0, len(prompts), batch_size):
+                scored += _score_rows(scorer, prompts[at : at + batch_size])
+            yield pd.DataFrame(scored, columns=[f.name for f in SCORE_FIELDS])
+
+    # Not deterministic for Spark: a filter on the scores must not run the scorer again.
+    scorer = F.pandas_udf(run, T.StructType(SCORE_FIELDS)).asNondeterministic()
+    scored = rows.withColumn(SCORES, scorer(text)).select(
+        *df.columns, *[F.col(f"{SCORES}.{f.name}") for f in SCORE_FIELDS]
+    )
     label = F.when(F.col("error").isNull(), label_of_token("decoded_token"))
     return scored.withColumn("classification", label)
 

@@ -83,3 +83,29 @@ def test_template_file(folder):
     with open(f"{folder}/t", "w") as f:
         f.write("x {content_text}")
     assert scoring.load_template(f"{folder}/t") == "x {content_text}"
+
+
+def make_counting():
+    import os
+
+    def score(texts):
+        with open(os.environ["COUNT_FILE"], "a") as f:
+            f.write("x" * len(texts))
+        return [("1", 0.0, 1.0)] * len(texts)
+
+    return score
+
+
+def test_each_text_is_scored_once(frame, folder, monkeypatch):
+    """Filters on scores and a template do not make the scorer run again."""
+    count = f"{folder}/count"
+
+    def make():
+        import os
+
+        os.environ["COUNT_FILE"] = count
+        return make_counting()
+
+    out = scoring.score(frame([(i, f"t{i}") for i in range(20)], "i int, t string"), "t", make, batch_size=3)
+    assert scoring.results(out).filter("prob_1 > 0.5 and decoded_token = '1'").count() == 20
+    assert len(open(count).read()) == 20
