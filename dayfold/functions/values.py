@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, functions as F
 
@@ -68,13 +68,28 @@ def elapsed_text(start, end) -> Column:
     return F.when(micros.isNotNull(), F.concat(lead, clock, fraction))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Name a value for use in the lambdas of ``body``, which would compute it for every element."""
+    return F.transform(F.array(value), body)[0]
+
+
 def softmax(scores) -> Column:
     """Probabilities of an array of scores, safe for large scores."""
-    values = as_column(scores)
-    top = F.array_max(values)
-    powers = F.transform(values, lambda x: F.exp(x - top))
-    total = F.aggregate(powers, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(powers, lambda p: p / total)
+
+    def powers(s: Column) -> Column:
+        return F.transform(s["v"], lambda x: F.exp(x - s["top"]))
+
+    def shares(s: Column) -> Column:
+        return F.transform(s["p"], lambda x: x / s["total"])
+
+    def with_total(p: Column) -> Column:
+        total = F.aggregate(p, F.lit(0.0), lambda a, x: a + x)
+        return _let(F.struct(p.alias("p"), total.alias("total")), shares)
+
+    def with_top(v: Column) -> Column:
+        return _let(F.struct(v.alias("v"), F.array_max(v).alias("top")), powers)
+
+    return _let(_let(as_column(scores), with_top), with_total)
 
 
 def argmax_index(scores) -> Column:
