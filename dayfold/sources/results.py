@@ -61,8 +61,8 @@ def days_of(rows: DataFrame, days: Sequence[str] = DAY) -> tuple[DataFrame, list
 
 def read_days(
     spark: SparkSession, path: str, schema: T.StructType, rows: DataFrame, days: Sequence[str] = DAY
-) -> DataFrame:
-    """The part of a day-partitioned table whose days occur in some rows.
+) -> DataFrame | None:
+    """The part of a day-partitioned table whose days occur in some rows, None if there is none.
 
     Up to ``MAX_LISTED_DAYS`` days are read by the paths of their partitions, so the others are
     not even listed; more days than that are matched by a semi-join.
@@ -73,7 +73,7 @@ def read_days(
     folders = ["/".join([path, *(f"{c}={v}" for c, v in zip(days, day))]) for day in listed]
     folders = [f for f in folders if exists(spark, f)]
     if not folders:
-        return spark.createDataFrame([], schema)
+        return None
     return spark.read.option("basePath", path).schema(schema).parquet(*folders).select(
         *schema.fieldNames()
     )
@@ -105,37 +105,42 @@ def upsert_table(
     now,
     defaults: dict | None = None,
     days: Sequence[str] = DAY,
-) -> str:
+) -> str | None:
     """Upsert a batch into a table partitioned by day, and return the folder of merged days.
 
-    The batch, one row per key, is written once so that it is computed once. Only its days are
-    read from the table; they are merged in the shared folder and then replace their partitions.
-    A failure before the last step leaves the table as it was; after a failure in it, calling
-    ``publish`` again with the returned folder, or this function with the same batch, repairs
-    the table.
+    The batch, one row per key, is written once so that it is computed once. If the table has
+    none of its days, as with a new day's drops, the new partitions are written straight to it
+    and nothing is returned. Otherwise only those days are read, merged in the shared folder,
+    and then replace their partitions. A failure before the last step leaves the table as it
+    was; after a failure in it, calling ``publish`` again with the returned folder, or this
+    function with the same batch, repairs the table. Upserts into the same days must not run at
+    the same time.
     """
     work = work_path(spark, "upsert")
     batch.write.parquet(f"{work}/batch")
     staged = spark.read.schema(batch.schema).parquet(f"{work}/batch")
     old = read_days(spark, path, schema, staged, days)
-    merged = keyed.upsert(old, staged, keys, now, defaults)
-    (
-        merged.hint("rebalance", *days)
-        .write.partitionBy(*days)
-        .parquet(f"{work}/merged")
-    )
+    if old is None:
+        fresh = keyed.upsert(spark.createDataFrame([], schema), staged, keys, now, defaults)
+        _replace_days(fresh.hint("rebalance", *days), path, days)
+        return None
+    merged = keyed.upsert(old, staged, keys, now, defaults).hint("rebalance", *days)
+    merged.write.partitionBy(*days).parquet(f"{work}/merged")
     publish(spark, f"{work}/merged", path, schema, days)
     return f"{work}/merged"
 
 
-def publish(
-    spark: SparkSession, merged: str, path: str, schema: T.StructType, days: Sequence[str] = DAY
-) -> None:
-    """Replace the partitions of a table that ``merged`` holds; all others stay."""
+def _replace_days(df: DataFrame, path: str, days: Sequence[str]) -> None:
     (
-        read_table(spark, merged, schema)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*days)
         .parquet(path)
     )
+
+
+def publish(
+    spark: SparkSession, merged: str, path: str, schema: T.StructType, days: Sequence[str] = DAY
+) -> None:
+    """Replace the partitions of a table that ``merged`` holds; all others stay."""
+    _replace_days(read_table(spark, merged, schema), path, days)

@@ -37,7 +37,8 @@ def test_upsert_table_touches_only_its_days(spark, frame, folder):
 
 def test_publish_can_be_repeated(spark, frame, folder):
     path = f"{folder}/t"
-    merged = upsert(spark, path, frame([("x", 2024, 1, 1, 1)], BATCH), T0)
+    assert upsert(spark, path, frame([("x", 2024, 1, 1, 1)], BATCH), T0) is None
+    merged = upsert(spark, path, frame([("y", 2024, 1, 1, 1)], BATCH), T0)
     once = rows(results.read_table(spark, path, SCHEMA))
     results.publish(spark, merged, path, SCHEMA)
     assert rows(results.read_table(spark, path, SCHEMA)) == once
