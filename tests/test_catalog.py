@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import compare
+from dayfold.plans.catalog import QUERIES, SQL
 from dayfold.plans.catalog.reports import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -19,7 +20,7 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(SQL)
 
 
 def test_entry(spark):
@@ -27,7 +28,7 @@ def test_entry(spark):
     assert df.count() > 0 and df.schema == entry.entry(spark).schema
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, connection, name):
     result, _ = compare(spark, connection, name, SF)
     assert result.startswith("ok"), result
