@@ -2,11 +2,10 @@
 
 Every document has a size in words. A source's target is its share by weight of a total, but no
 more than ``most`` times its own size; what a source cannot take is shared by weight among the
-others. The whole part of target over size is how often every document of the source is taken.
-For the rest documents are counted by exact size: every size first gives the same share of its
+others. Documents are counted by exact size: every size first gives the same share of its
 documents, and a bounded knapsack over what then is left of the budget picks single sizes so that
-the sum is exact, or as near below it as documents allow. Which documents of a size are taken
-again follows from a seeded hash of their ids.
+the sum is exact, or as near below it as sizes and the limit of ``most`` copies allow. Documents of
+one size are taken equally often or once more; which ones follows from a seeded hash of their ids.
 
 A null text has size 0; documents of size 0 are never taken. A null source is a source of its own,
 the last one. Repeated rows are documents of their own; where only some of several rows with the
@@ -72,31 +71,53 @@ def targets(sizes_of: DataFrame, weights: Sequence[float] = WEIGHTS, most: int =
     )
 
 
-def fit_budget(lengths: Sequence[int], counts: Sequence[int], budget: int, seed: int, knapsack: int = KNAPSACK) -> list[int]:
-    """How many documents of each length to take so that the lengths add up to the budget.
+def fit_budget(
+    lengths: Sequence[int], counts: Sequence[int], budget: int, seed: int, most: int = 1, knapsack: int = KNAPSACK
+) -> list[int]:
+    """How often to take documents of each length so that the lengths add up to the budget.
 
-    ``budget`` is less than the sum of all lengths. No length gives more documents than it has.
-    The sum is exact, or the nearest one below that the last ``knapsack`` words allow.
+    Every length first gives its share of the budget; what is left is filled by a bounded knapsack,
+    in which no length is taken more than ``most`` times the documents it has. Where no sum is
+    exact, more and more documents go back into the knapsack, up to its size. The result is the
+    nearest sum found that is not above the budget.
     """
     total = sum(n * c for n, c in zip(lengths, counts))
-    quota = [c * budget // total for c in counts] if total else [0] * len(counts)
+    limits = [most * c for c in counts]
+    quota = [min(m, c * budget // total) for m, c in zip(limits, counts)] if total else [0] * len(counts)
     left = budget - sum(n * q for n, q in zip(lengths, quota))
     order = list(range(len(lengths)))
     random.Random(seed).shuffle(order)
     for i in order:  # one pass of small steps brings what is left within the knapsack
         if left <= knapsack:
             break
-        n = min(counts[i] - quota[i], -(-(left - knapsack) // lengths[i]), left // lengths[i])
+        n = min(limits[i] - quota[i], -(-(left - knapsack) // lengths[i]), left // lengths[i])
         quota[i] += n
         left -= n * lengths[i]
-    goal = min(left, knapsack)
+    best, free = None, 0
+    while True:
+        own, goal = list(quota), left
+        for i in order:
+            n = min(own[i], -(-max(0, free - goal) // lengths[i]))
+            if goal + n * lengths[i] <= knapsack:
+                own[i] -= n
+                goal += n * lengths[i]
+        missed = _fill(lengths, limits, own, goal, order)
+        if best is None or missed < best[0]:
+            best = missed, own
+        if missed == 0 or free > knapsack:
+            return best[1]
+        free = 4 * free or 256
+
+
+def _fill(lengths: Sequence[int], limits: Sequence[int], quota: list[int], goal: int, order: Sequence[int]) -> int:
+    """Add to the quotas the largest sum up to the goal, as a bounded knapsack finds it; what is missed."""
     if goal <= 0:
-        return quota
+        return goal
     reached, full = 1, (1 << (goal + 1)) - 1
     how = np.full(goal + 1, -1, dtype=np.int64)  # the step that first reached a sum
     steps: list[tuple[int, int]] = []
     for i in order:
-        spare, step = min(counts[i] - quota[i], goal // lengths[i]), 1
+        spare, step = min(limits[i] - quota[i], goal // lengths[i]), 1
         while spare > 0 and not reached >> goal & 1:
             k = min(step, spare)
             new = (reached << k * lengths[i]) & full & ~reached
@@ -109,14 +130,15 @@ def fit_budget(lengths: Sequence[int], counts: Sequence[int], budget: int, seed:
         if reached >> goal & 1:
             break
     at = reached.bit_length() - 1
+    missed = goal - at
     while at > 0:
         i, k = steps[how[at]]
         quota[i] += k
         at -= k * lengths[i]
-    return quota
+    return missed
 
 
-def quotas(counted: DataFrame, seed: int) -> DataFrame:
+def quotas(counted: DataFrame, most: int, seed: int) -> DataFrame:
     """For each source and size how often every document is taken, and how many once more.
 
     ``counted`` has a row per source and size; a task holds the sizes of one source.
@@ -124,11 +146,12 @@ def quotas(counted: DataFrame, seed: int) -> DataFrame:
 
     def plan(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("size")
-        size, own = int(rows["source_size"].iloc[0]), int(rows["target"].iloc[0])
-        whole = own // size
         lengths, counts = rows["size"].tolist(), rows["n"].tolist()
-        more = fit_budget(lengths, counts, own - whole * size, seed) if own > whole * size else [0] * len(lengths)
-        return pd.DataFrame({"source": rows["source"], "size": lengths, "n": counts, "whole": whole, "more": more})
+        taken = fit_budget(lengths, counts, int(rows["target"].iloc[0]), seed, most)
+        return pd.DataFrame({
+            "source": rows["source"], "size": lengths, "n": counts,
+            "whole": [q // n for q, n in zip(taken, counts)], "more": [q % n for q, n in zip(taken, counts)],
+        })
 
     schema = "source string, size long, n long, whole long, more long"
     return counted.groupBy("source").applyInPandas(plan, schema)
@@ -150,8 +173,8 @@ def mix(
     goal = written(targets(sized, weights, most), "targets")
     same = F.col("s.source").eqNullSafe(F.col("t.source"))
     counted = sized.filter("size > 0").groupBy("source", "size").agg(F.count("*").alias("n"))
-    counted = counted.alias("s").join(small_side(goal).alias("t"), same).select("s.*", "source_size", "target")
-    plan = written(quotas(counted, seed), "quotas")
+    counted = counted.alias("s").join(small_side(goal).alias("t"), same).select("s.*", "target")
+    plan = written(quotas(counted, most, seed), "quotas")
 
     # Documents of a size of which some are taken once more: by bins of their hash, then within
     # the one bin in which the number is reached.

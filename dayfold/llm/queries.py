@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import classifier, decontamination, mixing
+from . import classifier, decontamination, licenses, mixing, urls, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,74 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix of all sources takes."""
     rows = mixing.mix(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+# Fixed values of the contract: rules as host and path.
+BLOCKED_RULES = [("net", "/"), ("example.com", "/de/")]
+ALLOWED_RULES = [("example.net", "/en/"), ("org", "/fr/")]
+
+
+@query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all pages; listed are the pages that some URL reaches with a tracking parameter."""
+    pages = table(spark, sf_dir, "pages")
+    tracked = pages.filter(F.col("url").rlike(r"[?&]utm_[a-z]+="))
+    listed = tracked.select(urls.canonical(F.col("url")).alias("canonical"))
+    out = urls.filter_urls(pages, listed, urls.rules_table(spark, BLOCKED_RULES, ALLOWED_RULES), ["page_id"])
+    return out.select("page_id", "host", "path", "rule", "verdict")
+
+
+SQL["op5_url_filter"] = r"""
+WITH cut AS (
+    SELECT page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages
+), parts AS (
+    SELECT page_id, url,
+        coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+        coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
+        regexp_extract(rest, '^[^?#]*\?([^#]*)', 1) AS query
+    FROM cut
+), named AS (
+    SELECT *, regexp_replace(regexp_replace(host, ':(80|443)?$', ''), '^(www|m)\.', '') AS name,
+        list_sort(list_filter(string_split(query, '&'),
+            lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|ref|fbclid|gclid)(=|$)'))) AS kept
+    FROM parts
+), pages_c AS (
+    SELECT *, CASE WHEN name <> '' THEN name || regexp_replace(path, '/+$', '')
+        || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END END AS canonical
+    FROM named
+), listed AS (
+    SELECT DISTINCT canonical FROM pages_c WHERE canonical IS NOT NULL AND regexp_matches(url, '[?&]utm_[a-z]+=')
+), rules(rule_host, rule_path, verdict) AS (
+    VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), fitting AS (
+    SELECT p.page_id, p.url, r.rule_host || r.rule_path AS rule, r.verdict,
+        row_number() OVER (PARTITION BY p.url ORDER BY length(r.rule_host || r.rule_path) DESC) AS n
+    FROM (SELECT DISTINCT page_id, url, host, path FROM pages_c) p
+    JOIN rules r ON (p.host = r.rule_host OR ends_with(p.host, '.' || r.rule_host)) AND starts_with(p.path, r.rule_path)
+), best AS (SELECT DISTINCT url, rule, verdict FROM fitting WHERE n = 1)
+SELECT p.page_id, p.host, p.path, b.rule,
+    coalesce(b.verdict, CASE WHEN l.canonical IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM pages_c p LEFT JOIN best b ON p.url = b.url LEFT JOIN listed l ON p.canonical = l.canonical
+"""
+
+
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and template matches of each document."""
+    rows = licenses.scan(table(spark, sf_dir, "documents"), ["doc_id"])
+    starts = F.transform("base", lambda b: b["first_word"])
+    base = F.transform("base", lambda b: b["label"])
+    joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    return rows.select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        joined(base).alias("base_labels"),
+        joined(F.concat(base, "matches")).alias("labels"), "score",
+    )
+
+
+@query
+def op7_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives and read back, one row per record."""
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
