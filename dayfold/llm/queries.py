@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import classifier, decontamination, licenses, mixing, urls, warc
+from . import classifier, decontamination, jaccard, lempel_ziv, licenses, mixing, pii, substrings, urls, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,29 @@ def op7_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to archives and read back, one row per record."""
     return warc.round_trip(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with surrogates in place of personal data, and the number of mentions."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace(docs, count="n_mentions")
+
+
+@query
+def op3_lempel_ziv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, and how alike they are."""
+    return lempel_ziv.compared_with_next(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate component of every document."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without its repeated windows of 20 words."""
+    rows = substrings.without_repeats(table(spark, sf_dir, "documents"), ["doc_id"])
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
