@@ -139,6 +139,16 @@ class Kind:
     def schema(self) -> T.StructType:
         return T.StructType.fromDDL(self.ddl)
 
+    @cached_property
+    def scan_types(self) -> dict[str, T.DataType]:
+        """Stored types by the names columns have in drops. Flags keep their own type until they
+        are made booleans, and the day comes from the file name."""
+        raw = {b: a for a, b in self.renames.items()}
+        return {
+            raw.get(f.name, f.name): f.dataType for f in self.schema.fields
+            if f.name not in self.flags and f.name not in DAY
+        }
+
     @cached_property
     def table_schema(self) -> T.StructType:
         """The stored table: an id, extra stored columns, the drop's columns and two times."""

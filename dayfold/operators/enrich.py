@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import zero_if_null
 from ..model import BUSINESS_KEY, DAY
-from .skew import HOT_ROWS, SALTS, salted_inner_join
+from .skew import HOT_ROWS, salted_inner_join
 
 
 def child_counts(children: DataFrame, name: str, key: Sequence[str] = BUSINESS_KEY) -> DataFrame:
@@ -30,7 +30,6 @@ def classified_join(
     metadata: DataFrame,
     on: Sequence[str] = ("meta_id", "year", "month", "day"),
     hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Classified rows with the metadata of the same id and day; every match is kept.
 
@@ -47,7 +46,7 @@ def classified_join(
     clash = {c for c in classified.columns if c in metadata.columns and c not in keys}
     left = classified.withColumnsRenamed({c: f"{c}_x" for c in clash})
     right = metadata.withColumnsRenamed({c: f"{c}_y" for c in clash})
-    return salted_inner_join(left, right, keys, keys[:1], hot_rows=hot_rows, salts=salts)
+    return salted_inner_join(left, right, keys, keys[:1], hot_rows=hot_rows)
 
 
 # Columns that the views show, in order.

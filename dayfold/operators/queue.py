@@ -10,6 +10,9 @@ from ..model import DAY, FINAL_STATUSES, RUNNING_STATUSES
 from .keyed import insert_absent
 from .ranking import first_distinct, scalar
 
+# Fixed value: what is stored for a day without archives.
+NO_ARCHIVES = "No tar.xz files found"
+
 
 def _time_of(statuses: Sequence[str], at: Column) -> Column:
     return F.max(F.when(F.col("status").isin(list(statuses)), at))
@@ -78,7 +81,7 @@ def day_outcome(rollup: DataFrame, timed_out: Column | None = None) -> DataFrame
         .otherwise("completed_with_errors")
     )
     error = (
-        F.when(none, F.lit("No archives found"))
+        F.when(none, F.lit(NO_ARCHIVES))
         .when(late, F.lit("Worker jobs timed out"))
         .when(failed > 0, F.concat(failed.cast("string"), F.lit(" worker jobs failed")))
     )

@@ -13,13 +13,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import TEMPLATE_SLOT, label_of_token, nonblank
 from ..session import work_path
-from ..sources.results import exists
-from .keyed import pending
+from ..sources.results import exists, remove
+from .keyed import keep_last, pending
 
 Scorer = Callable[[list[str]], Sequence[tuple[str, float, float]]]
 MakeScorer = Callable[[], Scorer]
 
 SCORES = "__scores"
+
+# Rows that one task scores at most, if rows are spread, and rows after which results are saved.
+ROWS_PER_TASK = 20_000
+ROWS_PER_SAVE = 1_000_000
+
 SCORE_FIELDS = [
     T.StructField("decoded_token", T.StringType()),
     T.StructField("prob_0", T.DoubleType()),
@@ -60,13 +65,12 @@ def score(
     Only the text goes to Python and only the scores come back; all other columns stay in the
     JVM. ``template`` puts each text into a prompt. ``spread_by`` names unique columns to
     redistribute rows by, for input whose files differ much in size and a scorer that costs far
-    more than a shuffle. The rows then go to all shuffle partitions: adaptive execution would
-    merge them by size, not by scoring time.
+    more than a shuffle. The rows then go to as many tasks as their number asks for: adaptive
+    execution would merge them by size, not by scoring time.
     """
     rows = df.filter(nonblank(text))
     if spread_by:
-        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        rows = rows.repartition(tasks, *spread_by)
+        rows = rows.repartition(scoring_tasks(df.sparkSession, rows.count()), *spread_by)
 
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = make_scorer()
@@ -86,6 +90,26 @@ def score(
     return scored.withColumn("classification", label)
 
 
+def scoring_tasks(spark: SparkSession, rows: int) -> int:
+    """Tasks to score so many rows with: all partitions of the session, more if rows ask for it."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_TASK))
+
+
+def score_once(
+    df: DataFrame, text: str, make_scorer: MakeScorer, **options
+) -> tuple[DataFrame, DataFrame]:
+    """Results and failures of one run of the model, whose scores are written in between.
+
+    Reading ``results`` and ``failures`` of a scored frame one after the other would run it twice.
+    """
+    spark = df.sparkSession
+    path = work_path(spark, "scored")
+    scored = score(df, text, make_scorer, **options)
+    scored.write.parquet(path)
+    saved = spark.read.schema(scored.schema).parquet(path)
+    return results(saved), failures(saved)
+
+
 def results(scored: DataFrame) -> DataFrame:
     return scored.filter(F.col("error").isNull()).drop("error")
 
@@ -98,14 +122,14 @@ def failures(scored: DataFrame) -> DataFrame:
 
 def _saved(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     fields = [*schema.fields, *SCORE_FIELDS, T.StructField("classification", T.IntegerType()),
-              T.StructField("status", T.StringType())]
+              T.StructField("saved_at", T.TimestampType()), T.StructField("status", T.StringType())]
     return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
 def load_scored(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """Results and failures saved for input rows of a schema."""
+    """Results and failures saved for input rows of a schema; failures of several runs are all there."""
     saved = _saved(spark, path, schema).drop("status")
-    return results(saved), failures(saved)
+    return results(saved).drop("saved_at"), failures(saved)
 
 
 def score_resumable(
@@ -114,15 +138,16 @@ def score_resumable(
     make_scorer: MakeScorer,
     key: Sequence[str],
     path: str,
-    slices: int = 8,
+    rows_per_save: int = ROWS_PER_SAVE,
     **options,
 ) -> tuple[DataFrame, DataFrame]:
-    """Score rows that have no result under ``path`` yet, saving after each of ``slices`` parts.
+    """Score rows that have no result under ``path`` yet, saving after about ``rows_per_save`` rows.
 
     ``key`` names rows for good, such as file name and row number. What is left to do is written
-    once, cut by a hash of the key; each slice is then a job of its own whose results are
-    appended when it ends. A run that stops loses one slice, and the next run skips whatever is
-    saved. Failed rows are saved apart and tried again by the next run.
+    once, cut by a hash of the key into as many slices as there are amounts to save; each slice is
+    then a job of its own whose results are appended when it ends. A run that stops loses one
+    slice, and the next run skips whatever is saved. Failed rows are saved apart and tried again by
+    the next run; of several errors of a row the last one is returned.
     """
     spark = df.sparkSession
     keys = list(key)
@@ -130,16 +155,23 @@ def score_resumable(
     if exists(spark, path):
         done = _saved(spark, path, df.schema).filter(F.col("status") == "ok")
         todo = pending(todo, done, keys)
-    cut = F.pmod(F.xxhash64(*keys), F.lit(slices)).cast("int")
     staged = work_path(spark, "to-score")
-    todo.withColumn("slice", cut).write.partitionBy("slice").parquet(staged)
-    schema = T.StructType([*df.schema.fields, T.StructField("slice", T.IntegerType())])
-    parts = spark.read.schema(schema).parquet(staged)
+    todo.write.parquet(staged)
+    rows = spark.read.schema(df.schema).parquet(staged)
+    slices = max(1, -(-rows.count() // rows_per_save))
+    cut = F.pmod(F.xxhash64(*keys), F.lit(slices)).cast("int")
+    sliced = work_path(spark, "to-score")
+    rows.withColumn("__slice", cut).write.partitionBy("__slice").parquet(sliced)
+    remove(spark, staged)
+    schema = T.StructType([*df.schema.fields, T.StructField("__slice", T.IntegerType())])
+    parts = spark.read.schema(schema).parquet(sliced)
     for number in range(slices):
-        part = parts.filter(F.col("slice") == number).drop("slice")
+        part = parts.filter(F.col("__slice") == number).drop("__slice")
         scored = score(part, text, make_scorer, **options)
         status = F.when(F.col("error").isNull(), "ok").otherwise("failed")
-        scored.withColumn("status", status).write.mode("append").partitionBy("status").parquet(path)
+        scored.withColumns({"saved_at": F.current_timestamp(), "status": status}).write.mode("append").partitionBy(
+            "status").parquet(path)
+    remove(spark, sliced)
     saved, failed = load_scored(spark, path, df.schema)
     # A row that failed once and then got a result is no failure.
-    return saved, pending(failed.dropDuplicates(keys), saved, keys)
+    return saved, pending(keep_last(failed, keys, ["saved_at", "error"]).drop("saved_at"), saved, keys)

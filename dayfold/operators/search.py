@@ -39,10 +39,13 @@ def load_postings(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def query_words(query: str) -> list[str]:
-    """Distinct lower-case words of a query without stop words, in order."""
-    cleaned = "".join(c if c.isalnum() or c == "_" else " " for c in query.lower())
-    return [w for w in dict.fromkeys(cleaned.split()) if w not in STOP_WORDS]
+def query_words(spark: SparkSession, query: str) -> list[str]:
+    """Distinct lower-case words of a query without stop words, in order.
+
+    The query is cut by the same expression as the documents, so words in any script are found.
+    """
+    found = spark.range(1).select(split_words(F.lit(query)).alias("words")).first()["words"]
+    return [w for w in dict.fromkeys(found) if w and w not in STOP_WORDS]
 
 
 def _hits(index: DataFrame, wanted: Sequence[str]) -> DataFrame:
@@ -53,10 +56,10 @@ def _hits(index: DataFrame, wanted: Sequence[str]) -> DataFrame:
 
 def search_all(index: DataFrame, query: str) -> DataFrame:
     """Documents that hold every word of the query."""
-    wanted = query_words(query)
+    wanted = query_words(index.sparkSession, query)
     return _hits(index, wanted).filter(F.col("matched") == len(wanted))
 
 
 def search_any(index: DataFrame, query: str) -> DataFrame:
     """Documents that hold at least one word of the query."""
-    return _hits(index, query_words(query))
+    return _hits(index, query_words(index.sparkSession, query))

@@ -8,14 +8,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import common_type
+from ..session import work_path
 
+# A key with more rows than this on one side is spread there over as many tasks as it takes to give
+# each about so many.
 HOT_ROWS = 2_000_000
-SALTS = 16
 
-# Keys that may be salted, and keys the frequency sketch tracks to find them. A key outside the
-# first thousand holds less than a thousandth of the rows, which needs no salt.
-MOST_HOT_KEYS = 1000
-TRACKED_KEYS = 20_000
+# Hot keys that are broadcast; more of them are joined like any other table.
+BROADCAST_KEYS = 500_000
 
 
 def _shared_type(key: str, a: str, b: str) -> str:
@@ -39,18 +39,25 @@ def key_hash(keys: Sequence[str], types: Mapping[str, str]) -> Column:
     return F.xxhash64(*parts)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], types: Mapping[str, str], hot_rows: int) -> DataFrame:
-    """Hashes of keys with more than ``hot_rows`` rows, ``MOST_HOT_KEYS`` at most.
+def hot_keys(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], types: Mapping[str, str], hot_rows: int
+) -> DataFrame:
+    """Hashes of keys with more than ``hot_rows`` rows on a side, and over how many cells either
+    side is spread: ``__hash``, ``__left`` and ``__right``.
 
-    A frequency sketch finds them: one pass over the key columns, in which each task sends one
-    sketch of fixed size instead of its keys. The sketch only decides how rows are spread; the
-    joined rows do not depend on it.
+    Rows are counted exactly, by partial sums of the keys alone. The table is written, so both
+    sides of the join see the same cells.
     """
-    sketch = F.expr(f"approx_top_k(__hash, {MOST_HOT_KEYS}, {TRACKED_KEYS})")
-    top = df.select(key_hash(keys, types).alias("__hash")).agg(sketch.alias("top"))
-    return top.select(F.inline("top")).filter(F.col("count") > hot_rows).select(
-        F.col("item").alias("__hash")
-    )
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        per_key = df.select(key_hash(keys, types).alias("__hash")).groupBy("__hash").agg(F.count("*").alias("n"))
+        return per_key.filter(F.col("n") > hot_rows).select("__hash", F.ceil(F.col("n") / max(hot_rows, 1)).cast("int").alias(name))
+
+    spark = left.sparkSession
+    path = work_path(spark, "hot-keys")
+    both = counted(left, "__left").join(counted(right, "__right"), "__hash", "full_outer")
+    both.na.fill(1, ["__left", "__right"]).write.parquet(path)
+    found = spark.read.parquet(path)
+    return F.broadcast(found) if found.count() <= BROADCAST_KEYS else found
 
 
 def all_equal(left: str, right: str, keys: Sequence[str], null_safe: Sequence[str]) -> Column:
@@ -72,39 +79,31 @@ def salted_inner_join(
     left_spread: Sequence[str] = (),
     right_spread: Sequence[str] = (),
     hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Inner equi-join that spreads keys which are hot on either side over many tasks.
 
-    Rows of a key that is hot on their own side get one of ``salts`` numbers; rows of a key that
-    is hot on the other side are repeated once per number there. Both numbers join with the key,
-    so every pair appears exactly once, in one cell of a grid of at most ``salts * salts`` tasks.
-    All other keys stay in cell (0, 0), unrepeated. ``left_spread`` and ``right_spread`` name
+    Rows of a key that is hot on their own side get one of as many numbers as that side has cells
+    for the key; rows of the other side are repeated once per number. Both numbers join with the
+    key, so every pair appears exactly once, and no cell gets much more than ``hot_rows`` rows of a
+    side. All other keys stay in cell (0, 0), unrepeated. ``left_spread`` and ``right_spread`` name
     columns that tell the rows of one key apart (default: all). Apart from the keys the sides
     must not share column names.
     """
     types = {k: _shared_type(k, dict(left.dtypes)[k], dict(right.dtypes)[k]) for k in keys}
-    hot = hot_keys(left, keys, types, hot_rows).withColumn("__side", F.lit(1)).unionByName(
-        hot_keys(right, keys, types, hot_rows).withColumn("__side", F.lit(2))
-    )
-    # At most MOST_HOT_KEYS rows of each side: that bounds the broadcast.
-    hot = hot.groupBy("__hash").agg(F.sum("__side").alias("__side"))
-
-    def cells(df: DataFrame, spread: Sequence[str], own: str, other: str, own_bit: int) -> DataFrame:
-        side = F.coalesce("__side", F.lit(0))
-        own_hot = side.bitwiseAND(own_bit) > 0
-        other_hot = side.bitwiseAND(3 - own_bit) > 0
-        number = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-        all_numbers = F.sequence(F.lit(0), F.lit(salts - 1))
+    hot = hot_keys(left, right, keys, types, hot_rows)
+
+    def cells(df: DataFrame, spread: Sequence[str], own: str, other: str, own_cells: str, other_cells: str) -> DataFrame:
+        many, repeated = F.coalesce(own_cells, F.lit(1)), F.coalesce(other_cells, F.lit(1))
+        number = F.pmod(F.xxhash64(*spread), many).cast("int")
         hashed = df.withColumn("__hash", key_hash(keys, types))
-        return hashed.join(F.broadcast(hot), "__hash", "left").select(
+        return hashed.join(hot, "__hash", "left").select(
             *df.columns,
-            F.when(own_hot, number).otherwise(0).alias(own),
-            F.explode(F.when(other_hot, all_numbers).otherwise(F.array(F.lit(0)))).alias(other),
+            number.alias(own),
+            F.explode(F.sequence(F.lit(0), repeated - 1)).alias(other),
         )
 
-    one = cells(left, list(left_spread) or left.columns, "__i", "__j", 1)
-    two = cells(right, list(right_spread) or right.columns, "__j", "__i", 2)
+    one = cells(left, list(left_spread) or left.columns, "__i", "__j", "__left", "__right")
+    two = cells(right, list(right_spread) or right.columns, "__j", "__i", "__right", "__left")
     on = all_equal("l", "r", [*keys, "__i", "__j"], null_safe)
     rest = [c for c in right.columns if c not in keys]
     return one.alias("l").join(two.alias("r"), on, "inner").select(

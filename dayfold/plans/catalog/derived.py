@@ -50,6 +50,11 @@ def sql_day_text(prefix: str = "") -> str:
 
 # --- events as metadata, comments, subtitles, files and transcripts ---
 
+# The event types that stand for metadata and for each kind of drop; files are made of all events.
+METADATA = ("view", "signup")
+DROP_TYPES = {"metadata": METADATA, "comments": ("click", "purchase"), "subtitles": ("error",)}
+
+
 def keyed_events(spark: SparkSession, sf: str, *types: str) -> DataFrame:
     events = table(spark, sf, "events")
     if types:
@@ -57,19 +62,19 @@ def keyed_events(spark: SparkSession, sf: str, *types: str) -> DataFrame:
     return with_day(events, "ts").withColumn("meta_id", F.col("user_id").cast("string"))
 
 
-def kept_events(spark: SparkSession, sf: str, kind: str) -> DataFrame:
-    return keep_last(keyed_events(spark, sf, kind), BUSINESS_KEY, EVENT_ORDER)
+def kept_events(spark: SparkSession, sf: str, *types: str) -> DataFrame:
+    return keep_last(keyed_events(spark, sf, *types), BUSINESS_KEY, EVENT_ORDER)
 
 
 def metadata(spark: SparkSession, sf: str) -> DataFrame:
-    return kept_events(spark, sf, "view").select(
+    return kept_events(spark, sf, *METADATA).select(
         *BUSINESS_KEY, F.col("props").alias("meta_desc"), F.col("event_id").alias("stats_playcount")
     )
 
 
 def files(spark: SparkSession, sf: str) -> DataFrame:
     name = F.format_string("e%d.opus", "event_id")
-    return kept_events(spark, sf, "purchase").select(
+    return kept_events(spark, sf).select(
         surrogate_id(*BUSINESS_KEY).alias("id"), *BUSINESS_KEY,
         F.format_string("e%d.mp3", "event_id").alias("filename"),
         storage_path(*DAY, F.date_format("ts", "HH_mm"), name).alias("file_path"),
@@ -88,9 +93,13 @@ def transcripts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def sql_kept(kind: str) -> str:
+def sql_types(*types: str) -> str:
+    return f"event_type IN ({', '.join(f"'{t}'" for t in types)})" if types else "true"
+
+
+def sql_kept(*types: str) -> str:
     return f"""
-  SELECT * FROM ev WHERE event_type = '{kind}'
+  SELECT * FROM ev WHERE {sql_types(*types)}
   QUALIFY row_number() OVER (
     PARTITION BY meta_id, year, month, date ORDER BY ts DESC, event_id DESC) = 1"""
 
@@ -100,14 +109,14 @@ ev AS (SELECT *, CAST(user_id AS VARCHAR) AS meta_id, {sql_day("ts")} FROM event
 
 MEDIA_SQL = f"""{EVENTS_SQL},
 m AS (SELECT meta_id, year, month, date, props AS meta_desc, event_id AS stats_playcount
-      FROM ({sql_kept("view")})),
+      FROM ({sql_kept(*METADATA)})),
 f AS (SELECT sha256(meta_id || '|' || year || '|' || month || '|' || date) AS id,
         meta_id, year, month, date, 'e' || event_id || '.mp3' AS filename,
         'audio/' || year || '/' || lpad(CAST(month AS VARCHAR), 2, '0') || '/' ||
         lpad(CAST(date AS VARCHAR), 2, '0') || '/' || strftime(ts, '%H_%M') || '/e' || event_id || '.opus'
           AS file_path,
         event_id AS file_size_bytes, value, props
-      FROM ({sql_kept("purchase")})),
+      FROM ({sql_kept()})),
 t AS (SELECT sha256('transcript|' || id) AS id, id AS audio_file_id, props AS transcript_text,
         CAST(len(string_split(props, ' ')) AS BIGINT) AS word_count, value AS duration_seconds
       FROM f WHERE value > {VALUE_LIMIT})"""
@@ -220,13 +229,13 @@ def write_drops(df: DataFrame, root: str) -> None:
 
 
 def write_event_drops(spark: SparkSession, sf: str, root: str, *kinds: str) -> None:
-    """Views, clicks and errors as metadata, comment and subtitle drops, one slot per day."""
-    kind = F.when(F.col("event_type") == "view", "metadata").when(
-        F.col("event_type") == "click", "comments"
-    ).otherwise("subtitles")
+    """All events as metadata, comment and subtitle drops, one slot per day."""
+    kind = F.lit(None)
+    for name, types in DROP_TYPES.items():
+        kind = F.when(F.col("event_type").isin(*types), name).otherwise(kind)
     third = F.col("event_id") % 3
     flag = F.when(third == 0, F.lit(None)).otherwise(third - 1).cast("double")
-    rows = keyed_events(spark, sf, "view", "click", "error").withColumn("kind", kind)
+    rows = keyed_events(spark, sf).withColumn("kind", kind)
     if kinds:
         rows = rows.filter(F.col("kind").isin(list(kinds)))
     rows = rows.select(

@@ -18,7 +18,7 @@ from ...sources.drops import open_file
 from ...sources.results import append_day, read_table
 from ..ingest import ingest
 from . import derived
-from .derived import EVENTS_SQL, sql_day
+from .derived import DROP_TYPES, EVENTS_SQL, sql_day, sql_types
 from .registry import query, table
 
 NOW = dt.datetime(2024, 2, 1)
@@ -51,7 +51,7 @@ def schema_drift_union(spark, sf):
 SELECT event_id, CASE WHEN event_id % 2 = 0 THEN value ELSE CAST(floor(value) AS DOUBLE) END AS value,
   CASE WHEN event_id % 2 = 0 THEN props END AS props FROM events""")
 def schema_drift_arrow(spark, sf):
-    """The same drift with every type mix but the most frequent read through Arrow."""
+    """Whole and floating numbers under one name, and text that some drops lack."""
     root = work_path(spark, "drift")
     even = F.col("event_id") % 2 == 0
     rows = table(spark, sf, "events").select(
@@ -62,10 +62,78 @@ def schema_drift_arrow(spark, sf):
         F.col("event_id").alias("two__event_id"), F.floor("value").alias("two__value"),
     )
     derived.write_drops(rows, root)
-    scanned, _ = drops.scan_kind(spark, root, "*", max_groups=1)
+    scanned, _ = drops.scan_kind(spark, root, "*")
     return scanned.select("event_id", "value", "props")
 
 
+@query("""
+WITH e AS (SELECT event_id, 7345678901234567000 + event_id AS big, ts FROM events)
+SELECT CASE event_id % 3 WHEN 0 THEN CAST(big AS VARCHAR) WHEN 1 THEN CAST(event_id AS VARCHAR) ELSE 'id-' || event_id END AS meta_id
+FROM e WHERE NOT (event_id % 3 = 1 AND event_id % 5 = 0)
+UNION ALL SELECT NULL FROM e WHERE event_id % 3 = 1 AND event_id % 5 = 0""")
+def drift_keys(spark, sf):
+    """Ids as large whole numbers in some drops, floating point with gaps in others, and text in the rest."""
+    root = work_path(spark, "drift-keys")
+    third = F.col("event_id") % 3
+    rows = table(spark, sf, "events").select(
+        F.element_at(F.array(F.lit("a_metadata"), F.lit("b_metadata"), F.lit("c_metadata")), (third + 1).cast("int")).alias("kind"),
+        F.date_format("ts", "yyyy-MM-dd_00_00").alias("slot"),
+        (F.col("event_id") + 7345678901234567000).alias("a_metadata__meta_id"),
+        F.when(F.col("event_id") % 5 != 0, F.col("event_id").cast("double")).alias("b_metadata__meta_id"),
+        F.concat(F.lit("id-"), F.col("event_id").cast("string")).alias("c_metadata__meta_id"),
+    )
+    derived.write_drops(rows, root)
+    return drops.scan_kind(spark, root, "metadata")[0].select("meta_id")
+
+
+@query("""
+WITH e AS (SELECT *, CASE WHEN event_id % 11 = 0 THEN 'undated' WHEN event_id % 11 = 1 THEN 'null key'
+    WHEN event_id % 11 = 2 THEN 'does not fit: stats_playcount' END AS reason FROM events)
+SELECT coalesce(reason, 'stored or replaced') AS reason, count(*) AS rows FROM e GROUP BY ALL
+UNION ALL SELECT 'unreadable file', NULL
+UNION ALL SELECT 'stored', count(*) FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) FROM e WHERE reason IS NULL)""")
+def ingest_rejects(spark, sf):
+    """All events as drops, some without a date, an id or a number that fits, and one broken file."""
+    root, tables = work_path(spark, "drops"), work_path(spark, "tables")
+    number = F.col("event_id") % 11
+    rows = table(spark, sf, "events").select(
+        F.lit("metadata").alias("kind"), "ts", "event_id",
+        F.when(number == 0, "sometime").otherwise(F.date_format("ts", "yyyy-MM-dd_00_00")).alias("slot"),
+        F.when(number != 1, F.col("user_id").cast("string")).alias("metadata__meta_id"),
+        F.col("event_id").cast("double").alias("metadata__stats_diggcount"),
+        F.when(number == 2, "many").otherwise(F.col("event_id").cast("string")).alias("metadata__stats_playcount"),
+    )
+    derived.write_drops(rows.repartitionByRange("ts", "event_id").sortWithinPartitions("ts", "event_id"), root)
+    system, folder = open_file(root)
+    with system.open_output_stream(f"{folder}/9_2024-01-01_00_00_metadata.parquet") as out:
+        out.write(b"broken")
+    outcome = ingest(spark, root, tables, NOW, kinds=["metadata"])["metadata"]
+    if outcome["error"]:
+        raise RuntimeError(outcome["error"])
+    rejects = outcome["rejects"].groupBy("reason").agg(F.sum("rows").alias("rows"))
+    stored = read_table(spark, f"{tables}/metadata", KINDS["metadata"].table_schema)
+    kept = stored.agg(F.lit("stored").alias("reason"), F.count("*").alias("rows"))
+    refused = rejects.agg(F.sum("rows").alias("n"))
+    rest = table(spark, sf, "events").agg(F.count("*").alias("all")).join(refused).select(
+        F.lit("stored or replaced").alias("reason"), (F.col("all") - F.col("n")).alias("rows"))
+    return rejects.unionByName(rest).unionByName(kept)
+
+
+@query("""
+SELECT event_id, value FROM events
+WHERE CAST(ts AS DATE) = (SELECT CAST(max(ts) AS DATE) FROM events)""")
+def scan_one_day(spark, sf):
+    """All events as drops; those of the last day are read by the names of their files."""
+    root = work_path(spark, "days")
+    events = table(spark, sf, "events")
+    last = events.agg(F.date_format(F.max("ts"), "yyyy-MM-dd").alias("d")).first()["d"]
+    rows = events.repartitionByRange("ts", "event_id").sortWithinPartitions("ts", "event_id").select(
+        F.lit("metadata").alias("kind"), F.date_format("ts", "yyyy-MM-dd_00_00").alias("slot"),
+        F.col("event_id").alias("metadata__event_id"), F.col("value").alias("metadata__value"))
+    derived.write_drops(rows, root)
+    return drops.scan_kind(spark, root, "metadata", pattern=f"*_{last}_*_metadata.parquet")[0].select("event_id", "value")
+
+
 _LAST = """
 QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY ts DESC, event_id DESC) = 1"""
 _KEY = "meta_id, year, month, date"
@@ -75,15 +143,15 @@ _FLAG = "coalesce(CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_id % 3 - 1 END
 @query(f"""
 WITH {EVENTS_SQL},
 a AS (SELECT 'metadata' AS kind, meta_id, year, month, date, CAST(NULL AS VARCHAR) AS cid, props AS content,
-    {_FLAG} AS flag, CAST(0 AS BIGINT) AS defaulted FROM ev WHERE event_type = 'view' {_LAST.format(key=_KEY)}),
+    {_FLAG} AS flag, CAST(0 AS BIGINT) AS defaulted FROM ev WHERE {sql_types(*DROP_TYPES['metadata'])} {_LAST.format(key=_KEY)}),
 b AS (SELECT 'comments', meta_id, year, month, date, CAST(event_id AS VARCHAR) AS cid, props, {_FLAG},
-    CAST(0 AS BIGINT) FROM ev WHERE event_type = 'click' {_LAST.format(key=_KEY + ", event_id")}),
+    CAST(0 AS BIGINT) FROM ev WHERE {sql_types(*DROP_TYPES['comments'])} {_LAST.format(key=_KEY + ", event_id")}),
 c AS (SELECT 'subtitles', meta_id, year, month, date, CAST(NULL AS VARCHAR), props,
     CASE WHEN value > {derived.VALUE_LIMIT} THEN true END, CAST(NULL AS BIGINT)
-    FROM ev WHERE event_type = 'error' {_LAST.format(key=_KEY)})
+    FROM ev WHERE {sql_types(*DROP_TYPES['subtitles'])} {_LAST.format(key=_KEY)})
 SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c""")
 def ingest_drops(spark, sf):
-    """Views, clicks and errors written as drops, ingested into the three tables, and read back."""
+    """All events written as drops, ingested into the three tables, and read back."""
     root, tables = work_path(spark, "drops"), work_path(spark, "tables")
     derived.write_event_drops(spark, sf, root)
     outcome = ingest(spark, root, tables, NOW)
@@ -161,13 +229,13 @@ def archive_members(spark, sf):
 
 @query(f"""
 WITH {EVENTS_SQL},
-n AS (SELECT strftime(ts, '0_%Y-%m-%d_%H_%M') || '_' || event_id || '.tar.xz' AS name FROM ev WHERE event_type = 'view'
-  UNION ALL SELECT strftime(ts, '0_%Y-%m-%d_%H_%M') || '_' || event_id || '.parquet' FROM ev WHERE event_type = 'click')
+n AS (SELECT strftime(ts, '0_%Y-%m-%d_%H_%M') || '_' || event_id || '.tar.xz' AS name FROM ev WHERE {sql_types('view', 'purchase')}
+  UNION ALL SELECT strftime(ts, '0_%Y-%m-%d_%H_%M') || '_' || event_id || '.parquet' FROM ev WHERE {sql_types('click', 'error', 'signup')})
 SELECT name, 'source/' || name AS source_path, 'target/' || name AS destination_path FROM n
 WHERE contains(name, '2024-01-1')""")
 def manifest_filter(spark, sf):
-    def listing(kind: str, suffix: str):
-        return table(spark, sf, "events").filter(F.col("event_type") == kind).select(
+    def listing(kinds: list[str], suffix: str):
+        return table(spark, sf, "events").filter(F.col("event_type").isin(kinds)).select(
             F.concat(
                 F.lit("0_"), F.date_format("ts", "yyyy-MM-dd_HH_mm"), F.lit("_"),
                 F.col("event_id").cast("string"), F.lit(suffix),
@@ -175,5 +243,5 @@ def manifest_filter(spark, sf):
         )
 
     return archives.manifest(
-        [listing("click", ".parquet"), listing("view", ".tar.xz")], "2024-01-1", "source/", "target/"
+        [listing(["click", "error", "signup"], ".parquet"), listing(["view", "purchase"], ".tar.xz")], "2024-01-1", "source/", "target/"
     )

@@ -42,15 +42,14 @@ def classified_join(spark, sf):
 WITH {MEDIA_SQL}
 SELECT a.meta_id, a.year, a.month, a.date AS day, a.event_id, a.value, m.stats_playcount
 FROM ev a JOIN m ON a.meta_id IS NOT DISTINCT FROM m.meta_id
-  AND a.year = m.year AND a.month = m.month AND a.date = m.date
-WHERE a.event_type = 'purchase'""")
+  AND a.year = m.year AND a.month = m.month AND a.date = m.date""")
 def salted_join(spark, sf):
     """Several classified rows per id; ids with more than three rows take the salted path."""
-    classified = derived.keyed_events(spark, sf, "purchase").withColumnRenamed("date", "day").select(
+    classified = derived.keyed_events(spark, sf).withColumnRenamed("date", "day").select(
         "meta_id", "year", "month", "day", "event_id", "value"
     )
     metadata = derived.metadata(spark, sf).withColumnRenamed("date", "day").drop("meta_desc")
-    return enrich.classified_join(classified, metadata, hot_rows=3, salts=4)
+    return enrich.classified_join(classified, metadata, hot_rows=3)
 
 
 @query(f"""
@@ -99,9 +98,9 @@ def day_transcripts(spark, sf):
 
 @query(f"""
 WITH {EVENTS_SQL}
-SELECT meta_id, year, month, date, count(*) AS comments FROM ev WHERE event_type = 'click' GROUP BY ALL""")
+SELECT meta_id, year, month, date, count(*) AS comments FROM ev GROUP BY ALL""")
 def child_counts(spark, sf):
-    return enrich.child_counts(derived.keyed_events(spark, sf, "click"), "comments")
+    return enrich.child_counts(derived.keyed_events(spark, sf), "comments")
 
 
 @query(f"""

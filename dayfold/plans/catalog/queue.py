@@ -142,15 +142,17 @@ def queue_filter(spark, sf):
 
 @query(f"""
 WITH {QUEUE_ROWS_SQL},
-w AS (SELECT year, month, date, count(*) AS workers,
+w AS (SELECT year, month, date, count(*) FILTER (WHERE status <> 'pending') AS workers,
   count(*) FILTER (WHERE status = 'completed') AS ok,
   count(*) FILTER (WHERE status = 'processing') AS failed FROM qr GROUP BY ALL)
-SELECT *, CASE WHEN failed = 0 THEN 'completed' ELSE 'completed_with_errors' END AS status,
-  CASE WHEN failed > 0 THEN failed || ' worker jobs failed' END AS error_message FROM w""")
+SELECT *, CASE WHEN workers = 0 THEN 'processing_failed' WHEN failed = 0 THEN 'completed' ELSE 'completed_with_errors' END AS status,
+  CASE WHEN workers = 0 THEN 'No tar.xz files found' WHEN failed > 0 THEN failed || ' worker jobs failed' END AS error_message
+FROM w""")
 def day_outcomes(spark, sf):
+    """Orders that are not pending stand for a day's workers; days without any have no archives."""
     status = F.col("status")
     counts = derived.queue_rows(spark, sf).groupBy(*DAY).agg(
-        F.count("*").alias("workers"),
+        F.count_if(status != "pending").alias("workers"),
         F.count_if(status == "completed").alias("ok"),
         F.count_if(status == "processing").alias("failed"),
     )

@@ -30,20 +30,17 @@ def class_summary(spark, sf):
     return reports.class_summary(table(spark, sf, "labels"), "toxic")
 
 
-# Every second day's first signup stands for its queue row.
-_SIGNUP_QUEUE = f"""
+# A day's first event stands for its queue row.
+_FIRST_QUEUE = f"""
 q AS (SELECT year, month, date,
     CASE WHEN event_id % 3 = 0 THEN 'completed' WHEN event_id % 3 = 1 THEN 'processing' END AS status,
     ts AS processing_start, CASE WHEN event_id % 3 = 0 THEN ts + INTERVAL 90 MINUTE END AS processing_end,
     CASE WHEN event_id % 5 = 0 THEN props END AS error_message
-  FROM (SELECT * FROM ev WHERE event_type = 'signup' AND date % 2 = 1
-        QUALIFY row_number() OVER (PARTITION BY year, month, date ORDER BY ts, event_id) = 1))"""
+  FROM (SELECT * FROM ev QUALIFY row_number() OVER (PARTITION BY year, month, date ORDER BY ts, event_id) = 1))"""
 
 
-def signup_queue(spark, sf):
-    first = keep_first(
-        derived.keyed_events(spark, sf, "signup").filter(F.col("date") % 2 == 1), DAY, derived.EVENT_ORDER
-    )
+def first_queue(spark, sf):
+    first = keep_first(derived.keyed_events(spark, sf), DAY, derived.EVENT_ORDER)
     third = F.col("event_id") % 3
     return first.select(
         *DAY,
@@ -55,9 +52,8 @@ def signup_queue(spark, sf):
 
 
 @query(f"""
-WITH {MEDIA_SQL}, {_SIGNUP_QUEUE},
-days AS (SELECT DISTINCT year, month, date FROM ev WHERE event_type IN ('view', 'purchase')
-         UNION SELECT year, month, date FROM q),
+WITH {MEDIA_SQL}, {_FIRST_QUEUE},
+days AS (SELECT DISTINCT year, month, date FROM ev),
 nf AS (SELECT year, month, date, count(*) AS n FROM f GROUP BY ALL),
 nt AS (SELECT f.year, f.month, f.date, count(*) AS n FROM t JOIN f ON t.audio_file_id = f.id GROUP BY ALL),
 nm AS (SELECT year, month, date, count(*) AS n FROM m GROUP BY ALL)
@@ -74,7 +70,7 @@ def day_statistics(spark, sf):
         files,
         enrich.day_transcripts(derived.transcripts(spark, sf), files),
         derived.metadata(spark, sf),
-        signup_queue(spark, sf),
+        first_queue(spark, sf),
     )
     return out.withColumns({c: stamp(c) for c in ("processing_start", "processing_end")})
 

@@ -10,7 +10,7 @@ from ...operators import scoring as ops
 from ...session import work_path
 from ..classify import classify, merge
 from . import derived
-from .derived import EVENTS_SQL, sql_kept
+from .derived import EVENTS_SQL, METADATA, sql_kept, sql_types
 from .registry import query, table
 
 
@@ -61,38 +61,38 @@ def score_resumed(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     labelled = docs.join(table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi")
     path = work_path(spark, "scored")
-    ops.score_resumable(labelled, "text", make_length_scorer, ["doc_id"], path, slices=2)
-    done, _ = ops.score_resumable(docs, "text", make_length_scorer, ["doc_id"], path, slices=2)
+    ops.score_resumable(labelled, "text", make_length_scorer, ["doc_id"], path, rows_per_save=400)
+    done, _ = ops.score_resumable(docs, "text", make_length_scorer, ["doc_id"], path, rows_per_save=400)
     return _shown(done)
 
 
 @query(f"""
 WITH {EVENTS_SQL},
 c AS (SELECT meta_id, year, month, date, props || repeat('x', CAST(event_id % 90 AS INTEGER)) AS content
-  FROM ev WHERE event_type = 'error'),
+  FROM ev WHERE {sql_types('error', 'click', 'purchase')}),
 s AS (SELECT *, length(content) AS n, (length(content) % 97) / 96.0::DOUBLE AS p FROM c),
 r AS (SELECT *, CASE WHEN n % 10 = 3 THEN '?' WHEN p > 0.5 THEN '1' ELSE '0' END AS decoded_token
   FROM s WHERE n % 41 <> 0),
-m AS (SELECT meta_id, year, month, date, props AS meta_desc FROM ({sql_kept("view")}))
+m AS (SELECT meta_id, year, month, date, props AS meta_desc FROM ({sql_kept(*METADATA)}))
 SELECT r.meta_id, r.year, r.month, r.date AS day, content, decoded_token,
   CAST(CASE WHEN decoded_token = '1' THEN 1 ELSE 0 END AS INTEGER) AS classification, round(p, 6) AS prob_1, meta_desc
 FROM r JOIN m USING (meta_id, year, month, date)""")
 def classify_and_merge(spark, sf):
-    """Errors as subtitle drops, scored and saved, then joined to the metadata drops of their days."""
+    """Errors, clicks and purchases as subtitle drops, scored and saved, then joined to the metadata drops of their days."""
     root, scored, classified, output = (
         work_path(spark, f"classify-{x}") for x in ("drops", "scored", "done", "merged")
     )
     slot = F.concat(day_text(*DAY), F.lit("_00_00")).alias("slot")
     padding = F.repeat(F.lit("x"), (F.col("event_id") % 90).cast("int"))
-    derived.write_drops(derived.keyed_events(spark, sf, "error").select(
+    derived.write_drops(derived.keyed_events(spark, sf, "error", "click", "purchase").select(
         F.lit("subtitles").alias("kind"), slot, F.col("meta_id").alias("subtitles__meta_id"),
         F.concat("props", padding).alias("subtitles__content"),
     ), root)
-    derived.write_drops(derived.kept_events(spark, sf, "view").select(
+    derived.write_drops(derived.kept_events(spark, sf, *METADATA).select(
         F.lit("metadata").alias("kind"), slot, F.col("meta_id").alias("metadata__meta_id"),
         F.col("props").alias("metadata__meta_desc"),
     ), root)
-    done, _ = classify(spark, root, make_length_scorer, scored, slices=2)
+    done, _ = classify(spark, root, make_length_scorer, scored, rows_per_save=400)
     done.write.parquet(classified)
     return merge(spark, classified, root, output).select(
         "meta_id", "year", "month", "day", "content", "decoded_token", "classification",

@@ -43,3 +43,22 @@ def search_all(spark, sf):
 def search_any(spark, sf):
     index = ops.postings(table(spark, sf, "documents"), "doc_id", "text")
     return ops.search_any(index, SOUGHT)
+
+
+# Words in other scripts and with combining marks, put before every third document's text.
+_FOREIGN = ["नमस्ते", "cafe\u0301", "мир", "Straße"]
+_FOREIGN_SQL = f"""
+WITH d AS (SELECT doc_id, CASE doc_id % 5 {' '.join(f"WHEN {i} THEN '{w} '" for i, w in enumerate(_FOREIGN))} ELSE '' END || text AS text
+  FROM documents),
+w AS (SELECT doc_id AS doc, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{M}}\\p{{N}}_]+')) AS token FROM d),
+p AS (SELECT token, doc, count(*) AS times FROM w GROUP BY ALL)
+SELECT doc, count(*) AS matched, CAST(sum(times) AS BIGINT) AS times FROM p
+WHERE token IN ({", ".join(f"'{w.lower()}'" for w in _FOREIGN)}) GROUP BY doc"""
+
+
+@query(_FOREIGN_SQL)
+def search_scripts(spark, sf):
+    """Search for words in several scripts, cut like the documents' own."""
+    word = F.element_at(F.array(*[F.lit(w + " ") for w in _FOREIGN], F.lit("")), (F.col("doc_id") % 5 + 1).cast("int"))
+    docs = table(spark, sf, "documents").withColumn("text", F.concat(word, "text"))
+    return ops.search_any(ops.postings(docs, "doc_id", "text"), ", ".join(_FOREIGN))

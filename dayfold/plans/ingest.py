@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -9,16 +10,28 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from ..model import KINDS, Kind
-from ..operators.keyed import split_null_keys
-from ..sources.drops import prepare, scan_kind
+from ..operators.keyed import keep_last
+from ..sources.drops import FILE_ORDER, REJECTS, canonical, scan_kind, sort_out, unreadable
 from ..sources.results import upsert_table
 
 
-def store(spark: SparkSession, scanned: DataFrame, kind: Kind, table: str, now) -> DataFrame:
-    """Upsert scanned rows into a kind's table; rows with a null in the key are returned."""
-    batch, set_aside = split_null_keys(prepare(scanned, kind), kind.key)
+def rejects_path(table: str) -> str:
+    """Where the refused rows of a table are kept: a folder beside it, with one folder per run."""
+    return f"{table.rstrip('/')}_rejects"
+
+
+def store(
+    spark: SparkSession, fine: DataFrame, refused: DataFrame, kind: Kind, table: str, now, run: str | None = None
+) -> DataFrame:
+    """Upsert rows that were sorted out into a kind's table, and write and return what was refused.
+
+    ``run`` names the folder of these rejects; a run that is repeated under its name replaces them.
+    """
+    path = f"{rejects_path(table)}/run={run or uuid.uuid4().hex}"
+    refused.write.mode("overwrite").parquet(path)
+    batch = canonical(keep_last(fine, kind.key, FILE_ORDER), kind)
     upsert_table(spark, table, batch, kind.table_schema, kind.key, now, kind.defaults)
-    return set_aside
+    return spark.read.schema(REJECTS).parquet(path)
 
 
 def ingest(
@@ -26,17 +39,19 @@ def ingest(
 ) -> dict[str, dict]:
     """Ingest the drops under a folder into ``<tables>/<kind>``, all kinds side by side.
 
-    A kind that fails does not stop the others. Gives, per kind, the unreadable files, the rows
-    set aside, or the error.
+    A kind that fails does not stop the others, and one without files is no failure. Gives, per
+    kind, the error, or the rejects: unreadable files, and rows without a date, with a null in the
+    key or with a value that does not fit its column.
     """
 
     def one(name: str) -> dict:
         try:
             scanned, bad = scan_kind(spark, root, name, **scan)
-            aside = store(spark, scanned, KINDS[name], f"{tables}/{name}", now)
-            return {"bad_files": bad, "null_keys": aside, "error": None}
+            fine, refused = sort_out(scanned, KINDS[name])
+            rejects = store(spark, fine, refused.unionByName(unreadable(bad)), KINDS[name], f"{tables}/{name}", now)
+            return {"rejects": rejects, "error": None}
         except Exception as error:  # noqa: BLE001 - reported per kind
-            return {"bad_files": None, "null_keys": None, "error": str(error)}
+            return {"rejects": None, "error": str(error)}
 
     with ThreadPoolExecutor(len(kinds)) as pool:
         return dict(zip(kinds, pool.map(inheritable_thread_target(spark)(one), kinds)))

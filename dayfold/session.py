@@ -7,9 +7,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Session settings a job should run with on any cluster. The sizes are Spark's own units for
-# splitting and merging shuffle partitions, so one plan fits 10 MB and 100 TB alike. The bound
-# on Arrow batches keeps rows with long texts from filling a Python worker.
+# Session settings a job should run with on any cluster. Adaptive execution merges shuffle
+# partitions up to the advisory size but never makes more than the number set, so jobs raise that
+# number with their input (``scale_to``). The bound on Arrow batches keeps rows with long texts from
+# filling a Python worker.
 RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -29,6 +30,28 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Input bytes per shuffle partition, and the most partitions a job asks for.
+BYTES_PER_PARTITION = 128 << 20
+MOST_PARTITIONS = 200_000
+
+
+def partitions_for(size: int, least: int = 1) -> int:
+    """Shuffle partitions for so many bytes of input."""
+    return min(MOST_PARTITIONS, max(least, -(-size // BYTES_PER_PARTITION)))
+
+
+def scale_to(spark: SparkSession, size: int) -> int:
+    """Raise the session's number of shuffle partitions to what the input needs; never lower it.
+
+    Results do not depend on it.
+    """
+    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    needed = partitions_for(size, now)
+    if needed > now:
+        spark.conf.set("spark.sql.shuffle.partitions", str(needed))
+    return needed
+
+
 def local_session(cores: int | str = "*", app: str = "dayfold", **extra: str) -> SparkSession:
     """A local session for tests and benchmarks."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import base_name
+from ..session import work_path
 from .drops import list_files, one_task_each, open_file
 
 ARCHIVE_PATTERN = "*.{tar,tar.gz,tar.xz}"
@@ -27,36 +28,34 @@ def explode_archives(
 ) -> tuple[DataFrame, DataFrame]:
     """Members whose name ends in ``suffix``, as it is written, and archives that failed.
 
-    A task streams one archive after the other, so archives may be larger than memory. An
-    archive that breaks half-way gives no members: its list is read to the end first, and only
-    then, if ``content`` is asked for, its bytes, ``BATCH_BYTES`` at a time.
+    A task streams one archive after the other, ``BATCH_BYTES`` of members at a time, so archives may
+    be larger than memory. Each is opened and decompressed once: members, and the error of an
+    archive that breaks half-way, are written as they come, and such an archive's members are left
+    out of what is read back.
     """
     columns = ["archive", "member", "size", "content", "error"]
     schema = "archive string, member string, size long, content binary, error string"
 
-    def members(path: str, with_bytes: bool):
+    def members(path: str) -> Iterator[tuple]:
         system, name = open_file(path)
         with system.open_input_stream(name, compression=None) as raw:
             with tarfile.open(fileobj=raw, mode="r|*") as tar:
                 for info in tar:
                     if info.isfile() and info.name.endswith(suffix):
-                        data = tar.extractfile(info).read() if with_bytes else None
+                        data = tar.extractfile(info).read() if content else None
                         yield (path, info.name, info.size, data, None)
 
     def frames_of(path: str) -> Iterator[pd.DataFrame]:
+        rows, held = [], 0
         try:
-            rows = list(members(path, False))
+            for row in members(path):
+                rows.append(row)
+                held += row[2] if content else 0
+                if held > BATCH_BYTES:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows, held = [], 0
         except Exception as error:  # noqa: BLE001 - reported per archive
             rows = [(path, None, None, None, f"{type(error).__name__}: {error}")]
-        else:
-            if content:
-                rows, held = [], 0
-                for row in members(path, True):
-                    rows.append(row)
-                    held += row[2]
-                    if held > BATCH_BYTES:
-                        yield pd.DataFrame(rows, columns=columns)
-                        rows, held = [], 0
         if rows:
             yield pd.DataFrame(rows, columns=columns)
 
@@ -65,11 +64,13 @@ def explode_archives(
             for path in frame["path"]:
                 yield from frames_of(path)
 
-    found = one_task_each(archives.select("path")).mapInPandas(run, schema)
-    kept = found.filter(F.col("error").isNull()).drop("error")
-    return (kept if content else kept.drop("content")), found.filter(
-        F.col("error").isNotNull()
-    ).select("archive", "error")
+    spark = archives.sparkSession
+    path = work_path(spark, "members")
+    one_task_each(archives.select("path")).mapInPandas(run, schema).write.parquet(path)
+    found = spark.read.schema(schema).parquet(path)
+    failed = found.filter(F.col("error").isNotNull()).select("archive", "error")
+    kept = found.filter(F.col("error").isNull()).drop("error").join(failed.select("archive"), "archive", "left_anti")
+    return (kept if content else kept.drop("content")), failed
 
 
 def manifest(

@@ -1,29 +1,32 @@
 """Dated Parquet drops whose columns and types drift from file to file.
 
 Spark fails on a column that is whole numbers in one file and floating point (or all null) in
-another. So the footers are read first, by tasks; files whose types agree are read together by
-Spark's own reader, and only groups beyond ``MAX_GROUPS`` go through Arrow, one row group per
-row of work. Every readable row is kept, and every unreadable file is reported.
+another. So the footers are read first, by tasks; files whose types agree are read together, each
+group in its own types, by Spark's reader. Every group's columns are then cast straight to the type
+they are stored in, or to the common type of columns that have none. Every readable row is kept,
+values that do not fit their stored type are named in ``misfits``, and every unreadable file is
+reported.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
+from itertools import islice
 
 import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import common_type, file_day, file_month, file_year, flag, has_file_date
-from ..model import KINDS, Kind
+from ..functions.text import whole_number
+from ..model import DAY, KINDS, Kind
 from ..operators.keyed import keep_last
 from ..operators.quality import refuse_case_clash
-from ..session import work_path
+from ..session import scale_to, work_path
 
 STRICT_NAME = r"_\d{4}-\d{2}-\d{2}_\d{2}_\d{2}_[a-z]+\.parquet$"
 FILE_ORDER = ["source_filename", "source_path", "row_index"]
@@ -33,11 +36,13 @@ LOCATION = [
     T.StructField("row_index", T.LongType()),
 ]
 
-# Groups of files read by Spark's reader, type mixes looked at to form them, and files whose
-# names the driver may list for one group. Files beyond these bounds are read through Arrow.
-MAX_GROUPS = 8
-MAX_MIXES = 2000
-MAX_LISTED_FILES = 200_000
+# Names of columns whose value did not fit the stored type of its column.
+MISFITS = T.StructField("misfits", T.ArrayType(T.StringType(), False), False)
+
+# Files named in one call of the reader. Groups of more files are read in several calls; Spark
+# keeps the list of files of a scan on the driver in any case.
+FILES_PER_READ = 20_000
+# Task counts only.
 FOOTERS_PER_TASK = 200
 MAX_TASKS = 20_000
 
@@ -141,125 +146,130 @@ def _groups(mixes: list[dict[str, str]]) -> list[dict]:
     return groups
 
 
-def _read_native(
-    spark: SparkSession, paths: Sequence[str] | str, types: dict[str, str], target: T.StructType, **options
+# Whole numbers up to here have a floating-point number of their own.
+_EXACT = 1 << 53
+
+
+def fitted(value: Column, source: str, target: T.DataType) -> tuple[Column, Column]:
+    """A value of a file's type in the stored type, and whether it is there but does not fit.
+
+    NaN is a missing value, as in files that pandas wrote. A floating-point number is text only if
+    it is sure which whole number it was, and a whole number only if it is one. Text is a number if
+    it spells one; blank text is missing. Decimals are rounded to their scale.
+    """
+    wanted = target.simpleString()
+    real, text = source in ("float", "double"), source == "string"
+    if real:
+        value = F.when(~F.isnan(value), value)
+        whole = value == F.floor(value)
+    if isinstance(target, T.StringType):
+        if not real:
+            return value.cast("string"), F.lit(False)
+        sure = F.abs(value) < _EXACT
+        out = F.when(whole & sure, value.try_cast("bigint").cast("string")).when(~whole, value.cast("string"))
+        return out, value.isNotNull() & out.isNull()
+    if isinstance(target, (T.LongType, T.IntegerType)):
+        if text:
+            value = F.when(F.trim(value) != "", value)
+            out = whole_number(F.trim(value), wanted)
+        elif real:
+            out = F.when(whole, value.try_cast(wanted))
+        else:
+            out = value.try_cast(wanted)
+        return out, value.isNotNull() & out.isNull()
+    if isinstance(target, T.DecimalType):
+        if text:
+            value = F.when(F.trim(value) != "", value)
+        out = value.try_cast(wanted)
+        return out, value.isNotNull() & out.isNull()
+    out = value.try_cast(target)
+    return out, value.isNotNull() & out.isNull()
+
+
+def _read(
+    spark: SparkSession, paths: Sequence[str], types: dict[str, str], target: T.StructType,
+    stored: Mapping[str, T.DataType], **options,
 ) -> DataFrame:
+    """Files of one group: its types, its columns cast to those of the target."""
     present = [f for f in target.fields if types.get(f.name, "null") != "null"]
     schema = T.StructType([T.StructField(f.name, _type(types[f.name])) for f in present])
-    df = spark.read.options(**options).schema(schema).parquet(
-        *([paths] if isinstance(paths, str) else paths)
-    )
+    df = spark.read.options(**options).schema(schema).parquet(*paths)
     there = {f.name for f in present}
+    columns, misfits = [], []
+    for f in target.fields:
+        if f.name not in there:
+            columns.append(F.lit(None).cast(f.dataType).alias(f.name))
+        elif f.name in stored:
+            value, wrong = fitted(F.col(f.name), types[f.name], f.dataType)
+            columns.append(value.alias(f.name))
+            misfits.append(F.when(wrong, F.lit(f.name)))
+        else:
+            columns.append(F.col(f.name).cast(f.dataType).alias(f.name))
+    names = F.array_compact(F.array(*misfits)) if misfits else F.array().cast(MISFITS.dataType)
     return df.select(
-        *[
-            (F.col(f.name) if f.name in there else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in target.fields
-        ],
+        *columns,
         F.col("_metadata.file_path").alias("source_path"),
         F.col("_metadata.file_name").alias("source_filename"),
         F.col("_metadata.row_index").alias("row_index"),
+        names.alias(MISFITS.name),
     )
 
 
-def _read_with_arrow(footers: DataFrame, target: T.StructType) -> DataFrame:
-    """Files read row group by row group and cast to the common types."""
-    output = T.StructType([*target.fields, *LOCATION])
-    arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in output.fields])
-    wanted = target.fieldNames()
-    groups = footers.select(
-        "path", F.posexplode("row_groups").alias("group", "rows"), "row_groups"
-    ).select(
-        "path", "group",
-        F.aggregate(F.slice("row_groups", 1, F.col("group")), F.lit(0).cast("long"),
-                    lambda a, x: a + x).alias("first"),
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                system, name = open_file(row["path"])
-                at = row["first"]
-                with system.open_input_file(name) as f:
-                    source = pq.ParquetFile(f)
-                    there = [c for c in wanted if c in source.schema_arrow.names]
-                    for part in source.iter_batches(row_groups=[row["group"]], columns=there):
-                        n = part.num_rows
-                        columns = []
-                        for field in arrow:
-                            if field.name == "source_path":
-                                values = pa.array([row["path"]] * n, field.type)
-                            elif field.name == "source_filename":
-                                values = pa.array([row["path"].rsplit("/", 1)[-1]] * n, field.type)
-                            elif field.name == "row_index":
-                                values = pa.array(range(at, at + n), field.type)
-                            elif field.name in there:
-                                values = part.column(field.name).cast(field.type)
-                            else:
-                                values = pa.nulls(n, field.type)
-                            columns.append(values)
-                        at += n
-                        yield pa.RecordBatch.from_arrays(columns, schema=arrow)
-
-    return one_task_each(groups).mapInArrow(run, output)
+def _in_parts(rows: Iterator, size: int) -> Iterator[list[str]]:
+    while part := [r["path"] for r in islice(rows, size)]:
+        yield part
 
 
 def scan_files(
     files: DataFrame,
     columns: Sequence[str] | None = None,
     root: str | None = None,
-    max_groups: int = MAX_GROUPS,
     verify: bool = False,
+    kind: Kind | None = None,
     **options,
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of all readable files, and ``path, error`` of the unreadable ones.
 
-    Rows come with the common type of each column, null where a file lacks it, and with
-    ``source_path``, ``source_filename`` and ``row_index``. ``columns`` limits what is read.
-    With ``root`` and ``options`` given, files that all agree are read straight from the folder,
-    so their names never pass through the driver. A file whose footer is sound but whose pages
-    are not stops the job when it is read; ``verify`` reads all files first and reports it.
+    Rows come with ``source_path``, ``source_filename``, ``row_index`` and ``misfits``, null where a
+    file lacks a column. Columns that ``kind`` stores have their stored type, others the common
+    type of all files. ``columns`` limits what is read. With ``root`` and ``options`` given, files
+    that all agree are read straight from the folder, so their names never pass through the driver.
+    A file whose footer is sound but whose pages are not stops the job when it is read; ``verify``
+    reads all files first and reports it.
     """
     spark = files.sparkSession
+    count, size = files.agg(F.count("*"), F.sum("length")).first()
+    scale_to(spark, size or 0)
     at_once = spark.sparkContext.defaultParallelism * 4
-    tasks = max(1, min(at_once, files.count() // FOOTERS_PER_TASK))
+    tasks = max(1, min(at_once, count // FOOTERS_PER_TASK))
     path = work_path(spark, "footers")
     read_footers(files.repartition(tasks), verify).write.parquet(path)
     footers = spark.read.schema(_FOOTERS).parquet(path)
     bad = footers.filter(F.col("error").isNotNull()).select("path", "error")
     good = footers.filter(F.col("error").isNull())
 
-    # One row per column and type it has anywhere: as many as the schema is wide.
-    seen = good.select(F.explode(F.from_json("columns", "map<string,string>"))).distinct().collect()
+    # One row per mix of types: the driver sees what differs, not the files.
+    mixes = [r["columns"] for r in good.select("columns").distinct().orderBy("columns").toLocalIterator()]
+    parsed = [json.loads(m) for m in mixes]
     kinds: dict[str, set[str]] = {}
-    for name, kind in sorted(map(tuple, seen)):
-        kinds.setdefault(name, set()).add(kind)
+    for mix in parsed:
+        for name, type_name in mix.items():
+            kinds.setdefault(name, set()).add(type_name)
     refuse_case_clash(list(kinds))
-    wanted = list(kinds) if columns is None else [c for c in columns if c in kinds]
-    target = T.StructType([T.StructField(c, _type(common_type(kinds[c]))) for c in wanted])
-
-    # The type mixes of most files. Files of all other mixes go through Arrow, by row of work.
-    found = good.groupBy("columns").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "columns")
-    mixes = found.limit(MAX_MIXES).collect()
-    total = good.count()
-    groups = _groups([{c: t for c, t in json.loads(m["columns"]).items() if c in wanted} for m in mixes])
-    complete = sum(m["n"] for m in mixes) == total
-    if complete and len(groups) == 1 and root is not None and bad.isEmpty():
-        return _read_native(spark, root, groups[0]["types"], target, **options), bad
-
-    parts, native, done = [], [], 0
-    for group in groups[:max_groups]:
-        members = [mixes[i]["columns"] for i in group["members"]]
-        n = sum(mixes[i]["n"] for i in group["members"])
-        if n > MAX_LISTED_FILES:
-            continue
-        paths = good.filter(F.col("columns").isin(members)).select("path").collect()
-        parts.append(_read_native(spark, [r["path"] for r in paths], group["types"], target))
-        native, done = native + members, done + n
-    if done < total:
-        rest = good.filter(~F.col("columns").isin(native)) if native else good
-        parts.append(_read_with_arrow(rest, target))
-    if not parts:
-        return spark.createDataFrame([], T.StructType([*target.fields, *LOCATION])), bad
+    stored = kind.scan_types if kind else {}
+    wanted = sorted(kinds) if columns is None else [c for c in columns if c in kinds]
+    target = T.StructType([T.StructField(c, stored.get(c) or _type(common_type(kinds[c]))) for c in wanted])
+    groups = _groups([{c: t for c, t in mix.items() if c in wanted} for mix in parsed])
+    if not groups:
+        known = target if not kind else T.StructType([T.StructField(c, t) for c, t in stored.items()])
+        return spark.createDataFrame([], T.StructType([*known.fields, *LOCATION, MISFITS])), bad
+    if len(groups) == 1 and root is not None and bad.isEmpty():
+        return _read(spark, [root], groups[0]["types"], target, stored, **options), bad
+    parts = []
+    for group in groups:
+        members = [mixes[i] for i in group["members"]]
+        paths = good.filter(F.col("columns").isin(members)).select("path").toLocalIterator()
+        parts += [_read(spark, p, group["types"], target, stored) for p in _in_parts(paths, FILES_PER_READ)]
     return reduce(DataFrame.unionByName, parts), bad
 
 
@@ -271,7 +281,6 @@ def scan_kind(
     strict: bool = False,
     pattern: str | None = None,
     columns: Sequence[str] | None = None,
-    max_groups: int = MAX_GROUPS,
     verify: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """All drops of a kind under a folder: their rows, and the files that could not be read.
@@ -283,8 +292,8 @@ def scan_kind(
     options = {"pathGlobFilter": pattern, "recursiveFileLookup": str(recursive).lower()}
     if strict:
         strict_files = files.filter(F.col("path").rlike(STRICT_NAME))
-        return scan_files(strict_files, columns, max_groups=max_groups, verify=verify)
-    return scan_files(files, columns, root, max_groups, verify, **options)
+        return scan_files(strict_files, columns, verify=verify, kind=KINDS.get(kind))
+    return scan_files(files, columns, root, verify, KINDS.get(kind), **options)
 
 
 def scan_day(spark: SparkSession, root: str, kind: str, date: str, **more) -> tuple[DataFrame, DataFrame]:
@@ -331,7 +340,45 @@ def canonical(df: DataFrame, kind: Kind) -> DataFrame:
     return df.select(*out)
 
 
+REJECTS = "reason string, source_path string, row_index long, rows long, detail string"
+
+
+def sort_out(scanned: DataFrame, kind: Kind, allow_null_key: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Rows that can be stored, with their date, and those that cannot, with the reason.
+
+    A row is refused if its file has no date in its name, if a key column is null, or if a value
+    does not fit its column; ``detail`` then has the whole row. Rows are sorted out before those
+    with equal keys are, so none disappears among its likes.
+    """
+    keys = [c for c in kind.key if c not in DAY]  # the day is that of the file
+    named = {b: a for a, b in kind.renames.items()}
+    lacking = [k for k in keys if k not in scanned.columns and named.get(k) not in scanned.columns]
+    rows = scanned.withColumns({k: F.lit(None).cast("string") for k in lacking}) if lacking else scanned
+    null_key = F.lit(False) if allow_null_key else reduce(lambda a, b: a | b, [F.col(named.get(k, k)).isNull() for k in keys])
+    misfits = F.col(MISFITS.name) if MISFITS.name in rows.columns else F.array().cast(MISFITS.dataType)
+    reason = (
+        F.when(~has_file_date("source_filename"), "undated")
+        .when(F.size(misfits) > 0, F.concat(F.lit("does not fit: "), F.array_join(misfits, ", ")))
+        .when(null_key, "null key")
+    )
+    marked = rows.withColumn("__reason", reason)
+    fine = with_file_date(marked.filter(F.col("__reason").isNull()).drop("__reason", MISFITS.name))
+    content = F.to_json(F.struct(*[c for c in scanned.columns if c not in [f.name for f in (*LOCATION, MISFITS)]]))
+    refused = marked.filter(F.col("__reason").isNotNull()).select(
+        F.col("__reason").alias("reason"), "source_path", "row_index", F.lit(1).cast("long").alias("rows"),
+        content.alias("detail"),
+    )
+    return fine, refused
+
+
+def unreadable(bad: DataFrame) -> DataFrame:
+    """Unreadable files in the form of refused rows; how many rows they had is not known."""
+    return bad.select(
+        F.lit("unreadable file").alias("reason"), F.col("path").alias("source_path"),
+        F.lit(None).cast("long").alias("row_index"), F.lit(None).cast("long").alias("rows"), F.col("error").alias("detail"),
+    )
+
+
 def prepare(df: DataFrame, kind: Kind) -> DataFrame:
     """Scanned rows to a batch: date, last row per key, stored columns and types."""
-    dated = with_file_date(df)
-    return canonical(keep_last(dated, kind.key, FILE_ORDER), kind)
+    return canonical(keep_last(sort_out(df, kind)[0], kind.key, FILE_ORDER), kind)

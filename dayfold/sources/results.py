@@ -12,9 +12,6 @@ from ..operators import keyed
 from ..operators.quality import require_columns
 from ..session import work_path
 
-# Days listed in a partition filter; beyond this many a semi-join does the pruning.
-MAX_LISTED_DAYS = 1000
-
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists, asked of its own file system."""
@@ -22,6 +19,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate data that a job made itself."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
 def write_result(df: DataFrame, path: str) -> None:
     """Write a result; parent folders are made, an old result of that name is replaced."""
     df.write.mode("overwrite").parquet(path)
@@ -52,48 +55,27 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
-def days_of(rows: DataFrame, days: Sequence[str] = DAY) -> tuple[DataFrame, list | None]:
-    """Distinct days of some rows, also as a list unless there are more than can be listed."""
-    distinct = rows.select(*days).distinct()
-    listed = distinct.limit(MAX_LISTED_DAYS + 1).collect()
-    return distinct, None if len(listed) > MAX_LISTED_DAYS else sorted(tuple(r) for r in listed)
-
-
 def read_days(
     spark: SparkSession, path: str, schema: T.StructType, rows: DataFrame, days: Sequence[str] = DAY
 ) -> DataFrame | None:
     """The part of a day-partitioned table whose days occur in some rows, None if there is none.
 
-    Up to ``MAX_LISTED_DAYS`` days are read by the paths of their partitions, so the others are
-    not even listed; more days than that are matched by a semi-join.
+    The days are named in a partition filter, so no other partition is read. There are as many of
+    them as the calendar has, however many rows there are.
     """
-    distinct, listed = days_of(rows, days)
-    if listed is None:
-        return read_table(spark, path, schema).join(distinct, list(days), "left_semi")
-    folders = ["/".join([path, *(f"{c}={v}" for c, v in zip(days, day))]) for day in listed]
-    folders = [f for f in folders if exists(spark, f)]
-    if not folders:
+    if not exists(spark, path):
         return None
-    return spark.read.option("basePath", path).schema(schema).parquet(*folders).select(
-        *schema.fieldNames()
-    )
-
-
-def only_days(df: DataFrame, rows: DataFrame, days: Sequence[str] = DAY) -> DataFrame:
-    """Rows of any frame whose day occurs in some rows; listed days can reach its scan."""
-    distinct, listed = days_of(rows, days)
-    if listed is None:
-        return df.join(distinct, list(days), "left_semi")
     months: dict[tuple, list] = {}
-    for day in listed:
-        months.setdefault(day[:-1], []).append(day[-1])
+    for day in rows.select(*days).dropna().distinct().collect():
+        months.setdefault(tuple(day)[:-1], []).append(day[-1])
 
     def in_month(head: tuple, last: list) -> Column:
         same = [F.col(c) == v for c, v in zip(days, head)]
-        return reduce(lambda a, b: a & b, [*same, F.col(days[-1]).isin(last)])
+        return reduce(lambda a, b: a & b, [*same, F.col(days[-1]).isin(sorted(last))])
 
-    wanted = [in_month(h, d) for h, d in months.items()]
-    return df.filter(reduce(lambda a, b: a | b, wanted, F.lit(False)))
+    wanted = reduce(lambda a, b: a | b, [in_month(h, d) for h, d in months.items()], F.lit(False))
+    part = read_table(spark, path, schema).filter(wanted)
+    return None if part.isEmpty() else part
 
 
 def upsert_table(
@@ -105,6 +87,7 @@ def upsert_table(
     now,
     defaults: dict | None = None,
     days: Sequence[str] = DAY,
+    keep: bool = False,
 ) -> str | None:
     """Upsert a batch into a table partitioned by day, and return the folder of merged days.
 
@@ -112,9 +95,9 @@ def upsert_table(
     none of its days, as with a new day's drops, the new partitions are written straight to it
     and nothing is returned. Otherwise only those days are read, merged in the shared folder,
     and then replace their partitions. A failure before the last step leaves the table as it
-    was; after a failure in it, calling ``publish`` again with the returned folder, or this
-    function with the same batch, repairs the table. Upserts into the same days must not run at
-    the same time.
+    was; after a failure in it, calling ``publish`` again with the folder of merged days, or this
+    function with the same batch, repairs the table. The intermediate folders are deleted when all
+    is done, unless ``keep`` is set. Upserts into the same days must not run at the same time.
     """
     work = work_path(spark, "upsert")
     batch.write.parquet(f"{work}/batch")
@@ -123,10 +106,14 @@ def upsert_table(
     if old is None:
         fresh = keyed.upsert(spark.createDataFrame([], schema), staged, keys, now, defaults)
         _replace_days(fresh.hint("rebalance", *days), path, days)
+        if not keep:
+            remove(spark, work)
         return None
     merged = keyed.upsert(old, staged, keys, now, defaults).hint("rebalance", *days)
     merged.write.partitionBy(*days).parquet(f"{work}/merged")
     publish(spark, f"{work}/merged", path, schema, days)
+    if not keep:
+        remove(spark, work)
     return f"{work}/merged"
 
 

@@ -30,9 +30,10 @@ EXPECTED = [
 ]
 
 
-@pytest.mark.parametrize("max_groups", [8, 1, 0])
-def test_scan_keeps_every_readable_row(spark, drifting, max_groups):
-    df, bad = drops.scan_kind(spark, drifting, "metadata", max_groups=max_groups)
+@pytest.mark.parametrize("files_per_read", [20_000, 1])
+def test_scan_keeps_every_readable_row(spark, drifting, files_per_read, monkeypatch):
+    monkeypatch.setattr(drops, "FILES_PER_READ", files_per_read)
+    df, bad = drops.scan_kind(spark, drifting, "metadata")
     assert dict(df.dtypes)["flag"] == "double"
     got = rows(df, "meta_id", "flag", "n", "extra")
     assert got == sorted(EXPECTED, key=repr)
@@ -49,11 +50,10 @@ def test_scan_matches_pandas_concat(spark, drifting):
 
 
 def test_row_order_columns(spark, drifting):
-    for groups in (8, 0):
-        df, _ = drops.scan_kind(spark, drifting, "metadata", max_groups=groups)
-        first = df.filter("source_filename = '0_2025-01-01_00_00_metadata.parquet'")
-        assert rows(first, "meta_id", "row_index") == [("a", 0), ("b", 1)]
-        assert all(p[0].startswith("file:") for p in rows(df, "source_path"))
+    df, _ = drops.scan_kind(spark, drifting, "metadata")
+    first = df.filter("source_filename = '0_2025-01-01_00_00_metadata.parquet'")
+    assert rows(first, "meta_id", "row_index") == [("a", 0), ("b", 1)]
+    assert all(p[0].startswith("file:") for p in rows(df, "source_path"))
 
 
 def test_scan_without_drift_reads_the_folder(spark, folder):
@@ -102,7 +102,9 @@ def test_dates_and_undated(spark, drifting):
     dated = drops.with_file_date(df)
     assert rows(dated.distinct(), "year", "month", "date").count((2025, 1, 2)) == 1
     assert dated.filter("meta_id = 'z'").isEmpty()
-    assert [r["rows"] for r in drops.undated(df).collect()] == [1]
+    fine, refused = drops.sort_out(df, KINDS["metadata"])
+    assert rows(refused, "reason", "rows") == [("undated", 1)] and fine.count() == 5
+    assert '"meta_id":"z"' in refused.first()["detail"]
 
 
 def test_prepare_keeps_last_in_file_order(spark, drifting):
@@ -160,3 +162,43 @@ def test_verify_finds_broken_pages(spark, folder):
     assert none.isEmpty()
     with pytest.raises(Exception):
         unseen.select("meta_id").collect()
+
+
+def test_ids_keep_their_digits_in_every_mix_of_types(spark, folder):
+    big = [7345678901234567891, 7345678901234567893]
+    save(folder, "0_2025-01-01_00_00_metadata.parquet", meta_id=big)
+    save(folder, "0_2025-01-01_00_10_metadata.parquet", meta_id=[12.0, np.nan])
+    save(folder, "0_2025-01-01_00_20_metadata.parquet", meta_id=["x7", str(big[0])])
+    save(folder, "0_2025-01-01_00_30_metadata.parquet", meta_id=[float(big[0]), 1.5])
+    df, _ = drops.scan_kind(spark, folder, "metadata")
+    assert dict(df.dtypes)["meta_id"] == "string"
+    assert rows(df, "meta_id") == [
+        ("1.5",), ("12",), ("7345678901234567891",), ("7345678901234567891",), ("7345678901234567893",), ("x7",), (None,), (None,),
+    ]
+    fine, refused = drops.sort_out(df, KINDS["metadata"])
+    assert rows(refused, "reason", "row_index") == [("does not fit: meta_id", 0), ("null key", 1)]
+    assert drops.prepare(df, KINDS["metadata"]).count() == 5
+
+
+def test_values_that_do_not_fit_are_refused(spark, folder):
+    save(folder, "0_2025-01-01_00_00_comments.parquet", meta_id=["a", "b", "c", "d"], cid=["1", "2", "3", "4"],
+         collection_timestamp=["notnum", "17", " ", None], reply_score=[1.0, 1000.0, 2.345, np.nan], digg_count=[1.0, 2.0, 2.5, 3.0])
+    df, _ = drops.scan_kind(spark, folder, "comments")
+    fine, refused = drops.sort_out(df, KINDS["comments"])
+    assert rows(refused, "reason") == [
+        ("does not fit: collection_timestamp",), ("does not fit: digg_count",), ("does not fit: reply_score",)]
+    batch = drops.prepare(df, KINDS["comments"]).first()
+    assert (batch["cid"], batch["collection_timestamp"], batch["reply_score"], batch["digg_count"]) == ("4", None, None, 3)
+
+
+def test_no_files_give_an_empty_frame_with_the_stored_columns(spark, folder):
+    save(folder, "0_2025-01-01_00_00_comments.parquet", meta_id=["a"])
+    df, bad = drops.scan_kind(spark, folder, "metadata")
+    assert df.isEmpty() and bad.isEmpty() and {"meta_id", "country", "misfits"} <= set(df.columns)
+
+
+def test_partitions_follow_the_size_of_the_input(spark):
+    from dayfold.session import partitions_for
+
+    assert partitions_for(0) == 1 and partitions_for(10**6, 8) == 8
+    assert partitions_for(10**12) == 7451 and partitions_for(10**18) == 200_000

@@ -20,7 +20,7 @@ METADATA = [
 @pytest.mark.parametrize("hot_rows", [1_000_000, 20, 10, 1, 0])
 def test_classified_join_matches_pandas(frame, hot_rows):
     """Whether no key, the left side, both sides or every key is hot."""
-    out = enrich.classified_join(frame(CLASSIFIED, C), frame(METADATA, M), hot_rows=hot_rows, salts=3)
+    out = enrich.classified_join(frame(CLASSIFIED, C), frame(METADATA, M), hot_rows=hot_rows)
     assert out.columns == ["meta_id", "year", "month", "day", "label", "source_x", "n", "source_y", "title"]
     left = pd.DataFrame(CLASSIFIED, columns=[c.split()[0] for c in C.split(", ")])
     right = pd.DataFrame(METADATA, columns=[c.split()[0] for c in M.split(", ")])
@@ -32,22 +32,37 @@ def test_classified_join_matches_pandas(frame, hot_rows):
 def test_right_side_hot_only(frame):
     left = frame([("k", 1)], "k string, a int")
     right = frame([("k", i) for i in range(50)] + [("q", 1)], "k string, b int")
-    out = skew.salted_inner_join(left, right, ["k"], hot_rows=10, salts=4)
+    out = skew.salted_inner_join(left, right, ["k"], hot_rows=10)
     assert rows(out, "b") == sorted([(i,) for i in range(50)], key=repr)
 
 
 def test_hot_keys(frame):
-    df = frame([("a",)] * 5 + [(None,)] * 4 + [("b",)], "k string")
-    hot = skew.hot_keys(df, ["k"], {"k": "string"}, 3)
+    df = frame([("a",)] * 10 + [(None,)] * 4 + [("b",)], "k string")
+    other = frame([("b",)] * 7, "k string")
+    hot = skew.hot_keys(df, other, ["k"], {"k": "string"}, 3)
     hashes = df.select("k", skew.key_hash(["k"], {"k": "string"}).alias("__hash")).distinct()
-    assert rows(hashes.join(hot, "__hash"), "k") == [("a",), (None,)]
+    assert rows(hashes.join(hot, "__hash"), "k", "__left", "__right") == [("a", 4, 1), ("b", 1, 3), (None, 2, 1)]
+
+
+def test_more_hot_keys_than_are_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(skew, "BROADCAST_KEYS", 1000)
+    left = spark.range(6000).selectExpr("id % 1500 AS k", "id AS a")
+    right = spark.range(3000).selectExpr("id % 1500 AS k", "id AS b")
+    out = skew.salted_inner_join(left, right, ["k"], hot_rows=2)
+    assert out.count() == 1500 * 4 * 2 and out.distinct().count() == 12000
+
+
+def test_counts_and_join_use_no_single_task(spark):
+    left, right = spark.range(100).selectExpr("id % 7 AS k", "id AS a"), spark.range(50).selectExpr("id % 7 AS k", "id AS b")
+    plan = skew.salted_inner_join(left, right, ["k"], hot_rows=5)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
 
 
 @pytest.mark.parametrize("hot_rows", [100, 5])
 def test_join_of_different_number_types(frame, hot_rows):
     left = frame([(1, i) for i in range(9)] + [(2, 99)], "k int, a int")
     right = frame([(1.0, i) for i in range(7)] + [(-0.0, 5)], "k double, b int")
-    out = skew.salted_inner_join(left, right, ["k"], hot_rows=hot_rows, salts=3)
+    out = skew.salted_inner_join(left, right, ["k"], hot_rows=hot_rows)
     assert out.count() == 63 and out.distinct().count() == 63
 
 

@@ -56,7 +56,7 @@ def test_add_entries_and_location(frame):
 def test_day_outcome(frame):
     df = frame([(0, 0, False), (3, 0, False), (3, 1, False), (3, 0, True)], "workers long, failed long, late boolean")
     assert rows(queue.day_outcome(df, F.col("late")), "status", "error_message") == sorted([
-        ("processing_failed", "No archives found"), ("completed", None),
+        ("processing_failed", "No tar.xz files found"), ("completed", None),
         ("completed_with_errors", "1 worker jobs failed"), ("processing_failed", "Worker jobs timed out"),
     ], key=repr)
 

@@ -54,10 +54,10 @@ def test_wrong_number_of_scores_goes_row_by_row(frame):
     assert scoring.failures(out).isEmpty() and scoring.results(out).count() == 7
 
 
-@pytest.mark.parametrize("slices", [1, 3])
-def test_resume(spark, frame, folder, slices):
+@pytest.mark.parametrize("amount", [100, 1])
+def test_resume(spark, frame, folder, amount):
     df, path = frame(DOCS, "i int, t string"), f"{folder}/out"
-    run = lambda rows_, scorer: scoring.score_resumable(rows_, "t", scorer, ["i"], path, slices=slices)
+    run = lambda rows_, scorer: scoring.score_resumable(rows_, "t", scorer, ["i"], path, rows_per_save=amount)
     done, failed = run(df.filter("i < 6"), make_scorer)
     assert rows(done, "i") == [(0,), (1,), (5,)] and rows(failed, "i") == [(2,)]
     done, failed = run(df, make_strict)
@@ -72,7 +72,7 @@ def test_resume(spark, frame, folder, slices):
 
 def test_resume_with_nothing_to_do(frame, folder):
     done, failed = scoring.score_resumable(
-        frame([], "i int, t string"), "t", make_scorer, ["i"], f"{folder}/out", slices=2
+        frame([], "i int, t string"), "t", make_scorer, ["i"], f"{folder}/out", rows_per_save=2
     )
     assert done.isEmpty() and failed.isEmpty() and "prob_1" in done.columns
 

@@ -18,8 +18,8 @@ T0, T1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
 BATCH = "k string, year int, month int, date int, a int"
 
 
-def upsert(spark, path, batch, now):
-    return results.upsert_table(spark, path, batch, SCHEMA, KEY, now, {"b": "dflt"})
+def upsert(spark, path, batch, now, **more):
+    return results.upsert_table(spark, path, batch, SCHEMA, KEY, now, {"b": "dflt"}, **more)
 
 
 def test_upsert_table_touches_only_its_days(spark, frame, folder):
@@ -38,29 +38,35 @@ def test_upsert_table_touches_only_its_days(spark, frame, folder):
 def test_publish_can_be_repeated(spark, frame, folder):
     path = f"{folder}/t"
     assert upsert(spark, path, frame([("x", 2024, 1, 1, 1)], BATCH), T0) is None
-    merged = upsert(spark, path, frame([("y", 2024, 1, 1, 1)], BATCH), T0)
+    merged = upsert(spark, path, frame([("y", 2024, 1, 1, 1)], BATCH), T0, keep=True)
     once = rows(results.read_table(spark, path, SCHEMA))
     results.publish(spark, merged, path, SCHEMA)
     assert rows(results.read_table(spark, path, SCHEMA)) == once
 
 
-def test_many_days_use_the_other_way(spark, frame, folder, monkeypatch):
+def test_only_the_days_of_the_batch_are_read(spark, frame, folder):
     path = f"{folder}/t"
+    assert results.read_days(spark, path, SCHEMA, frame([], BATCH)) is None
     upsert(spark, path, frame([("x", 2024, 1, d, d) for d in range(1, 6)], BATCH), T0)
-    monkeypatch.setattr(results, "MAX_LISTED_DAYS", 2)
+    part = results.read_days(spark, path, SCHEMA, frame([("q", 2024, 1, 2, 0), ("q", 2024, 1, 4, 0), ("q", None, 1, 9, 0)], BATCH))
+    assert rows(part, "a") == [(2,), (4,)]
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "date#" in plan.split("PartitionFilters: [")[1]
+    assert results.read_days(spark, path, SCHEMA, frame([("q", 2025, 1, 2, 0)], BATCH)) is None
     upsert(spark, path, frame([("x", 2024, 1, d, -d) for d in range(1, 5)], BATCH), T1)
     assert rows(results.read_table(spark, path, SCHEMA), "a") == [(-1,), (-2,), (-3,), (-4,), (5,)]
 
 
-def test_only_days_prunes(spark, frame, folder):
-    path = f"{folder}/t"
-    results.append_day(frame([("x", 2024, m, d, 1) for m in (1, 2) for d in (1, 2, 3)], BATCH), path)
-    wanted = frame([(2024, 1, 2), (2024, 2, 3)], "year int, month int, date int")
-    pruned = results.only_days(spark.read.parquet(path), wanted)
-    assert rows(pruned, "month", "date") == [(1, 2), (2, 3)]
-    plan = pruned._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: []" not in plan and "date#" in plan.split("PartitionFilters: [")[1]
-    assert results.only_days(spark.read.parquet(path), wanted.limit(0)).isEmpty()
+def test_intermediate_folders_go(spark, frame, folder):
+    import os
+
+    from dayfold.session import shared_dir
+
+    left = lambda: {x for x in os.listdir(shared_dir(spark)) if x.startswith("upsert-")}
+    before = left()
+    for now in (T0, T1):
+        upsert(spark, f"{folder}/t", frame([("x", 2024, 1, 1, 1)], BATCH), now)
+    assert left() == before
 
 
 def test_append_adds(spark, frame, folder):
