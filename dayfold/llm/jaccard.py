@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import map_batches, small_side, written
+from .common import free_names, map_batches, small_side, written
 from .components import components
 from .words import SPACED, Splitter, bytes_of, pieces
 
@@ -260,3 +260,24 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     alone = placed.filter("label IS NULL").withColumn("component_id", F.col("doc_id"))
     columns = ["doc_id", "n_shingles", "component_id"]
     return named.select(*columns).unionByName(alone.select(*columns))
+
+
+def deduplicated(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """Documents, with their own columns, of which one of each component stays: that with the smallest id.
+
+    Of rows that share id and text one stays. Where rows share an id but not the text, they stay or
+    go together. Documents without shingles, and rows without an id, stay.
+    """
+    near = near_duplicates(docs, words, percent, text, doc_id)
+    gone = ~F.coalesce(F.col("component_id").eqNullSafe(F.col("doc_id")), F.lit(False))
+    by_id = written(near.groupBy("doc_id").agg(F.bool_and(gone).alias("gone"), F.count("*").alias("c")), "stays")
+    out, again = free_names(docs, "__out", "__again")
+    several = by_id.filter("c > 1 AND (NOT gone OR doc_id IS NULL)").select(F.col("doc_id").alias(again))
+    drop = written(by_id.filter("gone AND doc_id IS NOT NULL").select(F.col("doc_id").alias(out)), "gone")
+    kept = docs.join(small_side(drop), F.col(f"`{doc_id}`") == F.col(out), "left_anti")
+    several = written(several, "several")
+    if several.isEmpty():
+        return kept
+    same = F.col(f"`{doc_id}`").eqNullSafe(F.col(again))
+    single = kept.join(small_side(several), same, "left_anti")
+    return single.unionByName(kept.join(small_side(several), same, "left_semi").dropDuplicates([doc_id, text]))
