@@ -17,16 +17,22 @@ RECOMMENDED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Give a running session the recommended settings."""
+    """Give a running session the recommended settings.
+
+    What the cluster was started with stays, but for the time zone, on which results depend: its
+    sizes fit its executors.
+    """
+    given = spark.sparkContext.getConf()
     for name, value in RECOMMENDED.items():
-        spark.conf.set(name, value)
+        if name == "spark.sql.session.timeZone" or not given.contains(name):
+            spark.conf.set(name, value)
     return spark
 
 
