@@ -40,6 +40,9 @@ WORDS, PERCENT = 3, 90
 # Documents of so many shingles have enough of the picked ones.
 LONG = 100
 
+# Bits of a set's parity, by words of 64.
+PARITY = 8
+
 _U = np.uint64
 
 
@@ -72,13 +75,18 @@ def _identity(hashes: np.ndarray) -> bytes:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
 
 
+def _parity(hashes: np.ndarray) -> np.ndarray:
+    odd = np.bincount(((hashes >> _U(16)) % _U(64 * PARITY)).astype(np.int64), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _needed(n: int, percent: int) -> int:
     """Shingles that a linked set has in common with one of n at least."""
     return -(-percent * n // 100)
 
 
 def sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``doc_id``, size ``n``, identity ``sid``, counted shingles ``tokens`` and the ``tail``.
+    """``doc_id``, size ``n``, identity ``sid``, ``parity``, counted shingles ``tokens`` and ``tail``.
 
     The lowest bit of a token tells the order it belongs to: 0 for that of short documents, 1 for
     that of long ones. The tail has the shingles that a long document's prefix needs beyond the
@@ -91,7 +99,7 @@ def sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, text: str
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not held:
             held.append(Shingles(words))
-        sizes, ids, tokens, tails = [], [], [], []
+        sizes, ids, tokens, tails, parities = [], [], [], [], []
         for hashes in held[0](batch.column(1)):
             n = len(hashes)
             sizes.append(n)
@@ -105,21 +113,32 @@ def sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, text: str
                 tail = hashes[~picked][: max(0, n - _needed(n, percent) + 1 - int(picked.sum()))] | _U(1)
             tokens.append(np.unique(np.concatenate(own)).view(np.int64) if n else hashes.view(np.int64))
             tails.append(tail.view(np.int64))
+            parities.append(_parity(hashes))
         offsets = lambda parts: pa.array(np.concatenate(([0], np.cumsum([len(p) for p in parts]))), pa.int32())
         join = lambda parts: pa.ListArray.from_arrays(
             offsets(parts), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64), pa.int64()))
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), join(tokens), join(tails)],
-            names=["doc_id", "n", "sid", "tokens", "tail"])
+            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), join(parities), join(tokens), join(tails)],
+            names=["doc_id", "n", "sid", "parity", "tokens", "tail"])
 
     picked = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    return map_batches(picked, run, "doc_id long, n long, sid binary, tokens array<long>, tail array<long>")
+    return map_batches(picked, run, "doc_id long, n long, sid binary, parity array<long>, tokens array<long>, tail array<long>")
+
+
+def _most_apart(n1: Column, n2: Column, percent: int) -> Column:
+    """By how many shingles linked sets of these sizes may differ."""
+    return n1 + n2 - 2 * F.ceil((n1 + n2) * F.lit(percent) / F.lit(100 + percent))
 
 
 def _reach(n1: Column, n2: Column, u1: Column, u2: Column, percent: int) -> Column:
     """Whether sets of these sizes, with so many shingles that only one of them has, may be linked."""
-    needed = F.ceil((n1 + n2) * F.lit(percent) / F.lit(100 + percent))
-    return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & (u1 + u2 <= n1 + n2 - 2 * needed)
+    return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & (u1 + u2 <= _most_apart(n1, n2, percent))
+
+
+def _near(p1: Column, p2: Column, n1: Column, n2: Column, percent: int) -> Column:
+    """Whether sets with these parities may be linked; true where one is not known."""
+    bits = sum(F.bit_count(p1[i].bitwiseXOR(p2[i])) for i in range(PARITY))
+    return F.coalesce(bits <= _most_apart(n1, n2, percent), F.lit(True))
 
 
 def prefixes(nodes: DataFrame, percent: int) -> DataFrame:
@@ -206,7 +225,8 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, text: str
     firsts = table.filter("n > 0").join(
         small_side(later), F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("sid") == F.col("s")), "left_anti")
     firsts = firsts.join(small_side(odd), F.col("sid") == F.col("o"), "left")
-    nodes = firsts.select(F.coalesce("named", "doc_id").alias("node"), F.col("doc_id").alias("doc"), "sid", "n", "tokens", "tail")
+    nodes = firsts.select(
+        F.coalesce("named", "doc_id").alias("node"), F.col("doc_id").alias("doc"), "sid", "n", "parity", "tokens", "tail")
 
     prefix = prefixes(nodes, percent)
     groups, inside = _groups(prefix)
@@ -224,24 +244,35 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, text: str
     links = _verified(tried, nodes, docs, words, percent, text, doc_id)
     labels = components(links)
 
-    # What is left to compare: groups that share a shingle and are not all in one component.
-    placed = written(inside.join(labels, "node", "left").select("gid", "node", F.coalesce("label", "node").alias("label")), "placed")
-    spread = written(placed.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high")), "spread")
-    marked = written(postings.join(spread, "gid"), "marked")
-    open_ = written(marked.groupBy("h").agg(F.min("low").alias("l"), F.max("high").alias("r"), F.count("*").alias("c")).filter(
-        "l <> r AND c > 1").select("h"), "open")
-    active = written(marked.join(open_, "h"), "active")
+    # What is left to compare: groups that share a shingle and are not all in one component. A group
+    # of one node has that node's parity; members of larger ones are told apart when they are paired.
+    known = nodes.select("node", "n", "parity").dropDuplicates(["node"])
+    placed = written(inside.join(labels, "node", "left").join(known, "node").select(
+        "gid", "node", F.coalesce("label", "node").alias("label"), "n", "parity"), "placed")
+    spread = written(placed.groupBy("gid").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"),
+        F.when(F.count("*") == 1, F.first("parity")).alias("parity")), "spread")
+    labelled = postings.join(spread.select("gid", "low", "high"), "gid")
+    # A shingle is open if it is in several components and two of its groups can be near enough.
+    apart = _most_apart(F.col("n"), F.floor(F.col("n") * 100 / F.lit(percent)), percent)
+    ends = written(labelled.groupBy("h").agg(F.min("low").alias("l"), F.max("high").alias("r"), F.min("alone").alias("fewest")).filter(
+        "l <> r").select("h", "fewest"), "open")
+    active = labelled.join(ends, "h").filter(F.col("alone") + F.col("fewest") <= apart).drop("fewest")
+    active = written(active.join(spread.select("gid", "parity"), "gid"), "active")
     one, two = active.alias("x"), active.alias("y")
     pair = (F.col("x.h") == F.col("y.h")) & (F.col("x.gid") < F.col("y.gid")) & ~(
         (F.col("x.low") == F.col("x.high")) & (F.col("x.low") == F.col("y.low")) & (F.col("y.low") == F.col("y.high")))
-    reach = _reach(F.col("x.n"), F.col("y.n"), F.col("x.alone"), F.col("y.alone"), percent)
+    reach = _reach(F.col("x.n"), F.col("y.n"), F.col("x.alone"), F.col("y.alone"), percent) & _near(
+        F.col("x.parity"), F.col("y.parity"), F.col("x.n"), F.col("y.n"), percent)
     between = one.join(two, pair & reach).select(F.col("x.gid").alias("g"), F.col("y.gid").alias("k")).distinct()
     split = spread.filter("low <> high").select(F.col("gid").alias("g"), F.col("gid").alias("k"))
     group_pairs = written(between.union(split), "group-pairs")
-    left = placed.select(F.col("gid").alias("g"), F.col("node").alias("na"), F.col("label").alias("la"))
-    right = placed.select(F.col("gid").alias("k"), F.col("node").alias("nb"), F.col("label").alias("lb"))
-    expanded = group_pairs.join(left, "g").join(right, "k").filter("la <> lb AND (g <> k OR na < nb)").select(
-        F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct()
+    left = placed.select(*[F.col(c).alias(f"{c}1") for c in placed.columns])
+    right = placed.select(*[F.col(c).alias(f"{c}2") for c in placed.columns])
+    near = _near(F.col("parity1"), F.col("parity2"), F.col("n1"), F.col("n2"), percent)
+    expanded = group_pairs.join(left, F.col("g") == F.col("gid1")).join(right, (F.col("k") == F.col("gid2")) & (
+        F.col("label1") != F.col("label2")) & ((F.col("g") != F.col("k")) | (F.col("node1") < F.col("node2"))) & near).select(
+        F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")).distinct()
     rest = written(expanded.join(tried, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         more = _verified(rest, nodes, docs, words, percent, text, doc_id)
