@@ -48,7 +48,7 @@ PATTERNS = (
     r"(?<![\p{L}\p{N}])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,3}(?!\p{N})",
     r"(?<![\p{L}\p{N}])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?!\p{N})",
     r"(?<![\p{L}\p{N}-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![\p{N}-])",
-    rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLES})\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?(?![\p{{L}}\p{{N}}])",
+    rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLES})\.? \p{{Lu}}\p{{Ll}}+(?: (?!(?:{_TITLES})(?!\p{{L}}))\p{{Lu}}\p{{Ll}}+)?(?![\p{{L}}\p{{N}}])",
 )
 ENTITY = "|".join(PATTERNS)
 
