@@ -137,3 +137,24 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of each document without its repeated windows of 20 words."""
     rows = substrings.without_repeats(table(spark, sf_dir, "documents"), ["doc_id"])
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_WORDS_OF = r"""coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"""
+SQL["op1_decontamination"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS_OF} AS words FROM documents),
+i AS (SELECT item_id, {_WORDS_OF} AS words FROM benchmark),
+iw AS (SELECT item_id, words, least(13, len(words)) AS k, unnest(range(1, len(words) - least(13, len(words)) + 2)) AS p
+  FROM i WHERE len(words) > 0),
+windows AS (SELECT DISTINCT item_id, k, words[p:p + k - 1] AS w FROM iw),
+dk AS (SELECT doc_id, words, k, unnest(range(1, len(words) - k + 2)) AS p
+  FROM d, (SELECT DISTINCT k FROM windows) WHERE len(words) >= k),
+found AS (SELECT dk.doc_id, dk.p, dk.k, windows.item_id FROM dk JOIN windows ON dk.k = windows.k AND dk.words[dk.p:dk.p + dk.k - 1] = windows.w),
+places AS (SELECT DISTINCT doc_id, unnest(range(p, p + k)) AS at FROM found),
+n AS (SELECT doc_id, count(*) AS n_hit FROM places GROUP BY doc_id),
+items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+    array_to_string(list_sort(list(DISTINCT CAST(item_id AS VARCHAR))), ',') AS ids FROM found GROUP BY doc_id)
+SELECT d.doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(words) AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
