@@ -136,9 +136,9 @@ def _reach(n1: Column, n2: Column, u1: Column, u2: Column, percent: int) -> Colu
 
 
 def _near(p1: Column, p2: Column, n1: Column, n2: Column, percent: int) -> Column:
-    """Whether sets with these parities may be linked; true where one is not known."""
+    """Whether sets with these parities may be linked."""
     bits = sum(F.bit_count(p1[i].bitwiseXOR(p2[i])) for i in range(PARITY))
-    return F.coalesce(bits <= _most_apart(n1, n2, percent), F.lit(True))
+    return bits <= _most_apart(n1, n2, percent)
 
 
 def prefixes(nodes: DataFrame, percent: int) -> DataFrame:
@@ -244,35 +244,25 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, text: str
     links = _verified(tried, nodes, docs, words, percent, text, doc_id)
     labels = components(links)
 
-    # What is left to compare: groups that share a shingle and are not all in one component. A group
-    # of one node has that node's parity; members of larger ones are told apart when they are paired.
-    known = nodes.select("node", "n", "parity").dropDuplicates(["node"])
+    # What is left to compare: groups that share a shingle and are not all in one component.
+    known = nodes.select("node", "parity").dropDuplicates(["node"])
     placed = written(inside.join(labels, "node", "left").join(known, "node").select(
-        "gid", "node", F.coalesce("label", "node").alias("label"), "n", "parity"), "placed")
-    spread = written(placed.groupBy("gid").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"),
-        F.when(F.count("*") == 1, F.first("parity")).alias("parity")), "spread")
-    labelled = postings.join(spread.select("gid", "low", "high"), "gid")
+        "gid", "node", F.coalesce("label", "node").alias("label"), "parity"), "placed")
+    spread = written(placed.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high")), "spread")
+    labelled = postings.join(spread, "gid")
     # A shingle is open if it is in several components and two of its groups can be near enough.
     apart = _most_apart(F.col("n"), F.floor(F.col("n") * 100 / F.lit(percent)), percent)
     ends = written(labelled.groupBy("h").agg(F.min("low").alias("l"), F.max("high").alias("r"), F.min("alone").alias("fewest")).filter(
         "l <> r").select("h", "fewest"), "open")
-    active = labelled.join(ends, "h").filter(F.col("alone") + F.col("fewest") <= apart).drop("fewest")
-    active = written(active.join(spread.select("gid", "parity"), "gid"), "active")
-    one, two = active.alias("x"), active.alias("y")
-    pair = (F.col("x.h") == F.col("y.h")) & (F.col("x.gid") < F.col("y.gid")) & ~(
-        (F.col("x.low") == F.col("x.high")) & (F.col("x.low") == F.col("y.low")) & (F.col("y.low") == F.col("y.high")))
-    reach = _reach(F.col("x.n"), F.col("y.n"), F.col("x.alone"), F.col("y.alone"), percent) & _near(
-        F.col("x.parity"), F.col("y.parity"), F.col("x.n"), F.col("y.n"), percent)
-    between = one.join(two, pair & reach).select(F.col("x.gid").alias("g"), F.col("y.gid").alias("k")).distinct()
-    split = spread.filter("low <> high").select(F.col("gid").alias("g"), F.col("gid").alias("k"))
-    group_pairs = written(between.union(split), "group-pairs")
-    left = placed.select(*[F.col(c).alias(f"{c}1") for c in placed.columns])
-    right = placed.select(*[F.col(c).alias(f"{c}2") for c in placed.columns])
+    active = labelled.join(ends, "h").filter(F.col("alone") + F.col("fewest") <= apart)
+    active = written(active.select("gid", "h", "n", "alone"), "active")
+    # Their members, of which only pairs that pass all filters leave the join.
+    expanded = written(active.join(placed, "gid").select("h", "node", "label", "n", "alone", "parity"), "expanded")
+    one, two = (expanded.select(*[F.col(c).alias(f"{c}{i}") for c in expanded.columns]) for i in (1, 2))
+    pair = (F.col("h1") == F.col("h2")) & (F.col("node1") < F.col("node2")) & (F.col("label1") != F.col("label2"))
+    reach = _reach(F.col("n1"), F.col("n2"), F.col("alone1"), F.col("alone2"), percent)
     near = _near(F.col("parity1"), F.col("parity2"), F.col("n1"), F.col("n2"), percent)
-    expanded = group_pairs.join(left, F.col("g") == F.col("gid1")).join(right, (F.col("k") == F.col("gid2")) & (
-        F.col("label1") != F.col("label2")) & ((F.col("g") != F.col("k")) | (F.col("node1") < F.col("node2"))) & near).select(
-        F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")).distinct()
+    expanded = one.join(two, pair & reach & near).select(F.col("node1").alias("a"), F.col("node2").alias("b")).distinct()
     rest = written(expanded.join(tried, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         more = _verified(rest, nodes, docs, words, percent, text, doc_id)
