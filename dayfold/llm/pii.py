@@ -11,7 +11,9 @@ A surrogate follows from a secret key and the normal form of the entity alone: e
 equal surrogates in all documents, whatever their case or separators, and so do the parts of a
 name and the domains of addresses. Different entities may meet in one surrogate, or a surrogate may
 be an entity that occurs; all distinct entities are checked for that, and those in the way try
-again until none is. Only these exceptions are joined to the documents.
+again until none is. After some attempts a surrogate grows, or an address gets an octet above 255,
+so that every entity gets one however many occur. Only these exceptions are joined to the documents.
+What has no letter or digit to replace, such as a masked password, stays.
 
 A null text stays null, an empty one empty, and a text without entities stays as it is. Repeated
 rows get equal surrogates. Other columns, whatever their names, are kept.
@@ -28,6 +30,10 @@ KEY = "surrogate key, to be replaced by a secret one"
 # Rounds of the collision check; each leaves a small part of the entities of the one before.
 ROUNDS = 60
 
+# Attempts that keep the length; those after them grow by a character each. Kinds of a fixed format
+# have large spaces and keep it longer.
+FREE, FIXED = 4, 30
+
 # Forms of address by gender.
 MALE = ("Mr", "Herr", "Herrn", "Señor", "Monsieur", "господин", "κύριος")
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Señora", "Señorita", "Madame", "Mademoiselle", "госпожа", "κυρία")
@@ -57,6 +63,17 @@ _HINT = rf"[0-9]{{2}}|@|assword[=:]|(?:{_TITLES})\.? \p{{Lu}}"
 
 # Letters of each script that has its own, and syllables for names.
 _ACCENTED, _CYRILLIC, _GREEK = "àáâãäåæçèéêëìíîïñòóôõöøùúûüý", "абвгдежзийклмнопрстуфхцчшщъыьэюя", "αβγδεζηθικλμνξοπρστυφχψω"
+_ALPHABET = "abcdefghijklmnopqrstuvwxyz"
+_SYMBOLS = "!#$%&*+-=?@^_~"
+_LETTERS = {
+    "Cyrillic": _CYRILLIC, "Greek": _GREEK, "Latin": _ACCENTED,
+    "Han": "人大中国上下小天日月山水火木金土王李张刘陈杨赵黄周吴徐孙马朱胡林", "Hiragana": "あいうえおかきくけこさしすせそたちつてとなにぬねのはひふへほ",
+    "Katakana": "アイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホ", "Hangul": "가나다라마바사아자차카타파하고노도로모보소오조초코토포호",
+    "Arabic": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي", "Hebrew": "אבגדהוזחטיכלמנסעפצקרשת", "Armenian": "աբգդեզէըթժիլխծկհձղճմյնշոչպջռսվտրցփքօֆ",
+    "Georgian": "აბგდევზთიკლმნოპჟრსტუფქღყშჩცძწჭხჯჰ", "Devanagari": "अआइईउऊकखगघचछजझटठडढतथदधनपफबभमयरलवशषसह", "Bengali": "কখগঘচছজঝটঠডঢতথদধনপফবভমযরলশষসহ",
+    "Tamil": "கஙசஞடணதநபமயரலவழளறன", "Thai": "กขคฆงจฉชซฌญฎฏฐฑฒณดตถทธนบปผฝพฟภมยรลวศษสหอฮ",
+}
+_NUMERALS = ("٠١٢٣٤٥٦٧٨٩", "۰۱۲۳۴۵۶۷۸۹", "०१२३४५६७८९")
 _SYLLABLES = {
     "latin": "ba be bo da de do fa ga ka la le li lo ma me mi mo na ne ni no pa ra re ri ro sa se si so ta te".split(),
     "cyrillic": "ба бе бо да де до га ка ла ле ли ло ма ме ми мо на не ни но па ра ре ри ро са се си со та те ва ве".split(),
@@ -143,25 +160,27 @@ def _pick(letters: str, byte: Column) -> Column:
     return F.substring(F.lit(letters), byte % len(letters) + 1, F.lit(1))
 
 
-def _alike(c: Column, byte: Column, low: str) -> Column:
-    """A character of the same sort as ``c``."""
-    letters = "abcdefghijklmnopqrstuvwxyz"
-    return (
-        F.when(c.rlike("[0-9]"), _pick("0123456789", byte))
-        .when(c.rlike("[a-z]"), _pick(low, byte))
-        .when(c.rlike("[A-Z]"), _pick(letters.upper(), byte))
-        .when(c.rlike(r"[\p{IsCyrillic}&&\p{L}]"), _cased(c, _pick(_CYRILLIC, byte)))
-        .when(c.rlike(r"[\p{IsGreek}&&\p{L}]"), _cased(c, _pick(_GREEK, byte)))
-        .when(c.rlike(r"\p{IsLatin}"), _cased(c, _pick(_ACCENTED, byte)))
-        .otherwise(c)
+def _alike(c: Column, byte: Column, low: Column) -> Column:
+    """A character of the same sort as ``c``; letters of a script without a list become Latin ones."""
+    own = (
+        F.when(c.rlike("[0-9]"), "0123456789")
+        .when(c.rlike("[a-z]"), low)
+        .when(c.rlike("[A-Z]"), _ALPHABET)
+        .when(c.rlike(r"[^\p{L}\p{N}]"), c)
     )
+    for script, letters in _LETTERS.items():
+        own = own.when(c.rlike(rf"[\p{{Is{script}}}&&\p{{L}}]"), letters)
+    for digits in _NUMERALS:
+        own = own.when(c.rlike(f"[{digits}]"), digits)
+    own = own.when(c.rlike(r"\p{N}"), "0123456789").otherwise(_ALPHABET)
+    return _cased(c, F.substring(own, byte % F.length(own) + 1, F.lit(1)))
 
 
 def _cased(like: Column, c: Column) -> Column:
     return F.when(like.rlike(r"\p{Lu}"), F.upper(c)).otherwise(c)
 
 
-def _changed(text: Column, stream: Column, left: Column, right: Column, low: str = "abcdefghijklmnopqrstuvwxyz") -> Column:
+def _changed(text: Column, stream: Column, left: Column, right: Column, low: Column) -> Column:
     """The text with each character replaced by one alike, but for so many at either end."""
     n = F.length(text)
 
@@ -172,6 +191,11 @@ def _changed(text: Column, stream: Column, left: Column, right: Column, low: str
     return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(1), n), one), "")).otherwise(text)
 
 
+def _symbols(text: Column, stream: Column) -> Column:
+    """As many symbols as the text, which has no others, has."""
+    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: _pick(_SYMBOLS, _byte(stream, i))), "")
+
+
 def _luhn(digits: Column) -> Column:
     """The check sum of a card number, 0 for a valid one."""
     n = F.length(digits)
@@ -200,37 +224,69 @@ def _name(normal: Column, stream: Column, size: Column, ending: int | None) -> C
     )
 
 
+def _bare(kind: Column, normal: Column) -> Column:
+    """Whether an entity has nothing to replace: no letter or digit, and in a password one and the same symbol."""
+    return (
+        F.when(kind == "password", normal.rlike(r"^([^\p{L}\p{N}])\1*$"))
+        .when(kind == "email", ~F.substring_index(normal, "@", 1).rlike(r"[\p{L}\p{N}]"))
+        .when(kind == "domain", ~normal.rlike(r"[\p{L}\p{N}].*\."))
+        .otherwise(F.lit(False))
+    )
+
+
+def _more(attempt: Column, steady: int, letter: str) -> Column:
+    """By what an attempt beyond those that keep the length lengthens an entity, before its characters change."""
+    return F.repeat(F.lit(letter), F.greatest(attempt - (steady - 1), F.lit(0)))
+
+
 def surrogate(kind: Column, normal: Column, attempt: Column, stream: Column) -> Column:
-    """What stands for an entity, in normal form."""
-    zero = F.lit(0)
-    card = _changed(normal, stream, F.lit(1), zero)
-    head = F.substring(card, F.lit(1), F.length(card) - 1)
-    checked = F.concat(head, ((10 - _luhn(F.concat(head, F.lit("0")))) % 10).cast("string"))
-    octets = [(_byte(stream, F.lit(i)) % 254 + 1).cast("string") for i in range(4)]
+    """What stands for an entity, in normal form.
+
+    Addresses and tokens grow at the front, all others at the end.
+    """
+    free, digits = _more(attempt, FREE, "a"), _more(attempt, FIXED, "0")
+    local = F.substring_index(normal, "@", 1)
     top = F.length(F.substring_index(normal, ".", -1)) + 1  # the top-level domain and its dot
+    whole = F.struct(
+        F.when(kind == "email", F.concat(free, local)).when(kind == "domain", F.concat(free, normal)).when(
+            kind == "token", F.concat(digits, normal)).when(kind == "password", F.concat(normal, free)).otherwise(
+            F.concat(normal, digits)).alias("text"),
+        F.when(kind == "cloud_key", 4).when(kind == "iban", 2).when(kind == "card", 1).otherwise(0).alias("left"),
+        F.when(kind == "domain", top).otherwise(0).alias("right"),
+        F.when(kind == "token", "abcdef").otherwise(_ALPHABET).alias("low"),
+    )
+    first = _byte(stream, F.lit(0))  # no address that occurs has an octet above 255
+    octets = [F.when(attempt < FIXED, first % 254 + 1).otherwise(first + 256).cast("string")]
+    octets += [(_byte(stream, F.lit(i)) % 254 + 1).cast("string") for i in range(1, 4)]
+
+    def checked(card):
+        head = F.substring(card, F.lit(1), F.length(card) - 1)
+        return F.concat(head, ((10 - _luhn(F.concat(head, F.lit("0")))) % 10).cast("string"))
+
+    # Arrays of one, so that what is read more than once is made once.
+    changed = F.transform(F.array(whole), lambda x: _changed(x["text"], stream, x["left"], x["right"], x["low"]))
+    changed = F.transform(changed, lambda x: F.when((kind == "card") & (_luhn(normal) == 0), checked(x)).otherwise(x))
     out = (
-        F.when(kind == "email", _changed(F.substring_index(normal, "@", 1), stream, zero, zero))
-        .when(kind == "domain", _changed(normal, stream, zero, top))
-        .when(kind == "token", _changed(normal, stream, zero, zero, "abcdef"))
-        .when(kind == "cloud_key", _changed(normal, stream, F.lit(4), zero))
+        F.when(_bare(kind, normal), F.when(kind == "email", local).otherwise(normal))
+        .when((kind == "password") & ~normal.rlike(r"[\p{L}\p{N}]"), _symbols(F.concat(normal, free), stream))
         .when(kind == "ip", F.concat_ws(".", *octets))
-        .when(kind == "iban", _changed(normal, stream, F.lit(2), zero))
-        .when(kind == "card", F.when(_luhn(normal) == 0, checked).otherwise(card))
         .when(kind == "surname", _name(normal, stream, attempt + 4, None))
     )
     for i, gender in enumerate("mfn"):
         out = out.when(kind == f"given_{gender}", _name(normal, stream, attempt + 3, i))
-    return out.otherwise(_changed(normal, stream, zero, zero))
+    return out.otherwise(F.element_at(changed, 1))
 
 
 def _lay_out(m: Column, kind: Column, parts: Column) -> Column:
     """The surrogate in the format of the mention; ``parts`` are those of its entities."""
     first, second = F.element_at(parts, 1), F.element_at(parts, 2)
+    size = F.length(_normal(kind, m))
+    grown = F.substring(first, size + 1, F.length(first))  # what an attempt that grows has added
 
     def digits(i):  # digits take the place of digits, counted from the right
         c = F.substring(m, i, F.lit(1))
         after = F.length(_digits(F.substring(m, i, F.length(m)))) - 1
-        place = F.length(first) - after
+        place = size - after
         return F.when(c.rlike("[0-9]") & (place > 0), F.substring(first, place, F.lit(1))).otherwise(c)
 
     def letters(i):  # for an IBAN, blanks stay where they are
@@ -245,8 +301,8 @@ def _lay_out(m: Column, kind: Column, parts: Column) -> Column:
     return (
         F.when(kind == "email", F.concat(_with_case(local, first), F.lit("@"), _with_case(domain, second)))
         .when(kind == "password", F.concat(F.regexp_extract(m, r"^[Pp]assword[=:] ?", 0), first))
-        .when(kind.isin("phone", "card", "ssn"), F.array_join(F.transform(places, digits), ""))
-        .when(kind == "iban", F.array_join(F.transform(places, letters), ""))
+        .when(kind.isin("phone", "card", "ssn"), F.concat(F.array_join(F.transform(places, digits), ""), grown))
+        .when(kind == "iban", F.concat(F.array_join(F.transform(places, letters), ""), grown))
         .when((kind == "person") & (F.size(parts) > 1), F.concat_ws(
             " ", title, as_name(F.element_at(_names(m), 1), second), as_name(F.element_at(_names(m), -1), first)))
         .when(kind == "person", F.concat_ws(" ", title, as_name(F.element_at(_names(m), 1), first)))
@@ -255,10 +311,13 @@ def _lay_out(m: Column, kind: Column, parts: Column) -> Column:
 
 
 def _with_case(like: Column, text: Column) -> Column:
-    """The text, upper case where the other one, of the same length, is."""
+    """The text, upper case where the other one, of the same length or shorter by what the text has
+    grown at the front, is."""
+    before = F.greatest(F.length(text) - F.length(like), F.lit(0))
+
     def one(i):
         c = F.substring(text, i, F.lit(1))
-        return F.when(F.substring(like, i, F.lit(1)).rlike(r"\p{Lu}"), F.upper(c)).otherwise(c)
+        return F.when((i > before) & F.substring(like, i - before, F.lit(1)).rlike(r"\p{Lu}"), F.upper(c)).otherwise(c)
 
     return F.when(like.rlike(r"\p{Lu}"), F.array_join(F.transform(F.sequence(F.lit(1), F.length(text)), one), "")).otherwise(text)
 
@@ -295,7 +354,8 @@ def exceptions(entities: DataFrame, key: str = KEY) -> DataFrame | None:
         taken = made.select("space", F.when(F.col("kind") == "email", F.substring_index("normal", "@", 1)).otherwise(
             F.col("normal")).alias("made")).distinct()
         real = made.join(taken, ["space", "made"], "left_semi").select("kind", "normal")
-        again = written(twice.unionByName(real).distinct(), "collisions")
+        again = twice.unionByName(real).filter(~_bare(F.col("kind"), F.col("normal"))).distinct()
+        again = written(again, "collisions")
         if again.isEmpty():
             rest = own.filter("attempt > 0")
             return None if rest.isEmpty() else rest
