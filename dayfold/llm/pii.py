@@ -59,7 +59,7 @@ PATTERNS = (
 ENTITY = "|".join(PATTERNS)
 
 # A cheap look that every text with an entity passes: most texts need no more.
-_HINT = rf"[0-9]{{2}}|@|assword[=:]|(?:{_TITLES})\.? \p{{Lu}}"
+_HINT = rf"[0-9][ .-]?[0-9]|@|assword[=:]|AKIA|[0-9a-f]{{32}}|(?:{_TITLES})\.? \p{{Lu}}"
 
 # Letters of each script that has its own, and syllables for names.
 _ACCENTED, _CYRILLIC, _GREEK = "àáâãäåæçèéêëìíîïñòóôõöøùúûüý", "абвгдежзийклмнопрстуфхцчшщъыьэюя", "αβγδεζηθικλμνξοπρστυφχψω"
