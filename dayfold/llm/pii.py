@@ -87,8 +87,8 @@ _ENDINGS = {  # of given names: male, female, either
 def _kind(m: Column) -> Column:
     """The kind of a match."""
     return (
-        F.when(m.contains("@"), "email")
-        .when(m.rlike(r"^[Pp]assword[=:]"), "password")
+        F.when(m.rlike(r"^[Pp]assword[=:]"), "password")  # before e-mail, as its value may have "@" in it
+        .when(m.contains("@"), "email")
         .when(m.rlike(r"^AKIA[0-9A-Z]{16}$"), "cloud_key")
         .when(m.rlike(r"^[0-9a-f]{32,128}$"), "token")
         .when(m.rlike(r"^[0-9]+(\.[0-9]+){3}$"), "ip")

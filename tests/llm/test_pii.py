@@ -180,3 +180,10 @@ def test_each_pattern_alone_in_a_text(spark):
     ]
     got = run(spark, [f"x {e} y" for e in alone])
     assert [e for i, e in enumerate(alone) if got[i]["n"] != 1 or e in got[i]["text"]] == []
+
+
+def test_passwords_with_an_at_sign(spark):
+    got = run(spark, ["password=P@ssw0rd", "Password: my@pass.word9 x", "password=my@pass.word9"])
+    assert re.fullmatch(r"password=[A-Z]@[a-z]{3}\d[a-z]{2}", got[0]["text"]) and got[0]["text"] != "password=P@ssw0rd"
+    assert re.fullmatch(r"Password: [a-z]{2}@[a-z]{4}\.[a-z]{4}\d x", got[1]["text"]) and "word9" not in got[1]["text"]
+    assert got[1]["text"].split()[1] == got[2]["text"].split("=")[1]
