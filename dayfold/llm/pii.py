@@ -46,7 +46,7 @@ PATTERNS = (
     r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
     r"(?<![\p{L}\p{N}])[Pp]assword[=:] ?[^\s\"']{4,}",
     r"(?<![\p{L}\p{N}])AKIA[0-9A-Z]{16}(?![\p{L}\p{N}])",
-    r"(?<![\p{L}\p{N}])[0-9a-f]{32,128}(?![\p{L}\p{N}])",
+    r"(?<![\p{L}\p{N}])[0-9A-Fa-f]{32,128}(?![\p{L}\p{N}])",
     r"(?<![\p{N}.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\.?\p{N})",
     r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     r"(?<![\p{L}\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{N}-])",
@@ -59,7 +59,7 @@ PATTERNS = (
 ENTITY = "|".join(PATTERNS)
 
 # A cheap look that every text with an entity passes: most texts need no more.
-_HINT = rf"[0-9][ .-]?[0-9]|@|assword[=:]|AKIA|[0-9a-f]{{32}}|(?:{_TITLES})\.? \p{{Lu}}"
+_HINT = rf"[0-9][ .-]?[0-9]|@|assword[=:]|AKIA|[0-9A-Fa-f]{{32}}|(?:{_TITLES})\.? \p{{Lu}}"
 
 # Letters of each script that has its own, and syllables for names.
 _ACCENTED, _CYRILLIC, _GREEK = "àáâãäåæçèéêëìíîïñòóôõöøùúûüý", "абвгдежзийклмнопрстуфхцчшщъыьэюя", "αβγδεζηθικλμνξοπρστυφχψω"
@@ -90,7 +90,7 @@ def _kind(m: Column) -> Column:
         F.when(m.rlike(r"^[Pp]assword[=:]"), "password")  # before e-mail, as its value may have "@" in it
         .when(m.contains("@"), "email")
         .when(m.rlike(r"^AKIA[0-9A-Z]{16}$"), "cloud_key")
-        .when(m.rlike(r"^[0-9a-f]{32,128}$"), "token")
+        .when(m.rlike(r"^[0-9A-Fa-f]{32,128}$"), "token")
         .when(m.rlike(r"^[0-9]+(\.[0-9]+){3}$"), "ip")
         .when(m.rlike(r"^[A-Z]{2}[0-9]{2}[A-Z0-9 ]+$"), "iban")
         .when(m.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn")
@@ -107,7 +107,7 @@ def _digits(text: Column) -> Column:
 def _normal(kind: Column, m: Column) -> Column:
     """The form in which mentions of one entity are alike."""
     return (
-        F.when(kind == "email", F.lower(m))
+        F.when(kind.isin("email", "token"), F.lower(m))
         .when(kind == "password", F.regexp_replace(m, r"^[Pp]assword[=:] ?", ""))
         .when(kind.isin("ssn", "card"), _digits(m))
         .when(kind == "iban", F.replace(m, F.lit(" "), F.lit("")))
@@ -301,6 +301,7 @@ def _lay_out(m: Column, kind: Column, parts: Column) -> Column:
     return (
         F.when(kind == "email", F.concat(_with_case(local, first), F.lit("@"), _with_case(domain, second)))
         .when(kind == "password", F.concat(F.regexp_extract(m, r"^[Pp]assword[=:] ?", 0), first))
+        .when(kind == "token", _with_case(m, first))
         .when(kind.isin("phone", "card", "ssn"), F.concat(F.array_join(F.transform(places, digits), ""), grown))
         .when(kind == "iban", F.concat(F.array_join(F.transform(places, letters), ""), grown))
         .when((kind == "person") & (F.size(parts) > 1), F.concat_ws(

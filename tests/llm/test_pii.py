@@ -187,3 +187,19 @@ def test_passwords_with_an_at_sign(spark):
     assert re.fullmatch(r"password=[A-Z]@[a-z]{3}\d[a-z]{2}", got[0]["text"]) and got[0]["text"] != "password=P@ssw0rd"
     assert re.fullmatch(r"Password: [a-z]{2}@[a-z]{4}\.[a-z]{4}\d x", got[1]["text"]) and "word9" not in got[1]["text"]
     assert got[1]["text"].split()[1] == got[2]["text"].split("=")[1]
+
+
+def test_tokens_in_upper_case(spark):
+    token = "9233A8EC14B0D5F7" * 2 + "329B329B"
+    got = run(spark, [f'TOKEN = "{token}"', f"token {token.lower()} x", f"x {'ABCDEF' * 6}"])
+    new = re.fullmatch(r'TOKEN = "([0-9A-F]{40})"', got[0]["text"])[1]
+    assert new != token and got[1]["text"] == f"token {new.lower()} x"
+    assert re.fullmatch("x [A-F]{36}", got[2]["text"]) and "ABCDEF" * 6 not in got[2]["text"]
+
+
+def test_upper_case_tokens_of_the_larger_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("doc_id IN (2514, 8743)").select("doc_id", "text")
+    after = {r["doc_id"]: r["text"] for r in pii.replace(docs).collect()}
+    found = {r["doc_id"]: re.findall(r"\b[0-9A-F]{40}\b", r["text"]) for r in docs.collect()}
+    assert set(found) == {2514, 8743} and all(found.values())
+    assert not any(f in after[d] for d, all_of in found.items() for f in all_of)
