@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import classifier, decontamination, jaccard, lempel_ziv, licenses, mixing, pii, substrings, urls, warc
+from . import classifier, decontamination, hard_negatives, jaccard, lempel_ziv, licenses, mixing, pii, prefix_trie, substrings, urls, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,3 +158,72 @@ SELECT d.doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_
     sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(words) AS contaminated
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+# CRC-32 of the decimal id: bytes of digits, each followed by eight steps of one bit (-1).
+_CRC = """xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(range(1, len(s) + 1),
+    lambda i: list_concat([CAST(ascii(substr(s, i, 1)) AS BIGINT)], [-1, -1, -1, -1, -1, -1, -1, -1])))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END))"""
+SQL["op11_prefix_trie"] = f"""
+WITH own AS (
+    SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+        ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), named AS (SELECT conv_id, turns, CAST(conv_id AS VARCHAR) AS s FROM own
+), told AS (SELECT conv_id, turns, ({_CRC}) % 4 AS h FROM named
+), rebuilt AS (
+    SELECT t.conv_id, list_concat(coalesce(b.turns[1:t.h], []), t.turns[t.h + 1:]) AS turns
+    FROM told t LEFT JOIN own b ON b.conv_id = t.conv_id - t.conv_id % 20
+), prefixes AS (
+    SELECT conv_id, len(turns) AS n, d, turns[1:d] AS path FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)
+), nodes AS (
+    SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256,
+        CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(path[d].text, '[^\x20\x09-\x0D]+')) END AS words
+    FROM prefixes GROUP BY path, d
+), children AS (SELECT path[1:d - 1] AS path, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL
+), counted AS (SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children USING (path, d)
+), above AS (SELECT path[1:k] AS top, k, n_convs, words, n_children FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM counted)
+), sums AS (
+    SELECT top AS path, k AS d, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum((n_convs - 1) * words) AS BIGINT) AS saved_tokens
+    FROM above GROUP BY ALL
+)
+SELECT c.conv_id, CAST(c.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, n_leaves, saved_tokens, c.ends_sha256
+FROM counted c JOIN sums USING (path, d) LEFT JOIN nodes p ON c.d > 0 AND p.d = c.d - 1 AND p.path = c.path[1:c.d - 1]
+"""
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector, against all of them."""
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(
+        table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, F.col("vec_id"), changed, F.col("embedding"))
+
+
+SQL["op12_hard_negatives"] = """
+WITH v AS (
+    SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+    SELECT a.vec_id AS anchor_id, a.label = r.label AS same, r.vec_id, CAST(list_dot_product(a.q, r.q) AS BIGINT) AS score
+    FROM v a JOIN v r ON a.vec_id % 50 = 0 AND r.vec_id <> a.vec_id
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
