@@ -1 +1 @@
-"""Operators for preparing training data: ten of them, each with its query in ``queries``."""
+"""Operators for preparing training data: each with its query in ``queries``."""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import classifier, decontamination, hard_negatives, jaccard, lempel_ziv, licenses, mixing, pii, prefix_trie, substrings, urls, warc
+from . import classifier, decontamination, hard_negatives, jaccard, lempel_ziv, licenses, mixing, pii, prefix_trie, setsketch, substrings, urls, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -227,3 +227,9 @@ FROM positives JOIN scores USING (anchor_id)
 WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
 QUALIFY rank <= 3
 """
+
+
+@query
+def op13_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate component of every document, and the one of it that is kept."""
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
