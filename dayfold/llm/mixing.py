@@ -5,11 +5,11 @@ more than ``most`` times its own size; what a source cannot take is shared by we
 others. Documents are counted by exact size: every size first gives the same share of its
 documents, and a bounded knapsack over what then is left of the budget picks single sizes so that
 the sum is exact, or as near below it as sizes and the limit of ``most`` copies allow. Documents of
-one size are taken equally often or once more; which ones follows from a seeded hash of their ids.
+one size are taken equally often or once more; which ones follows from a seeded hash of id and text.
 
 A null text has size 0; documents of size 0 are never taken. A null source is a source of its own,
 the last one. Repeated rows are documents of their own; where only some of several rows with the
-same id, source and size are taken, it is left open which. An empty table gives an empty mix.
+same id and text are taken, it is left open which. An empty table gives an empty mix.
 """
 
 from __future__ import annotations
@@ -157,18 +157,15 @@ def quotas(counted: DataFrame, most: int, seed: int) -> DataFrame:
     return counted.groupBy("source").applyInPandas(plan, schema)
 
 
-def mix(
-    docs: DataFrame,
-    weights: Sequence[float] = WEIGHTS,
-    most: int = MOST,
-    seed: int = SEED,
-    source: str = "source",
-    text: str = "text",
-    doc_id: str = "doc_id",
+def _taken(
+    docs: DataFrame, keep: Sequence[str], weights: Sequence[float], most: int, seed: int, source: str, text: str, doc_id: str
 ) -> DataFrame:
-    """``doc_id``, ``source``, ``size``, ``source_size``, ``target`` and ``copies`` of each document."""
+    """The ``keep`` columns of each row as ``k0``, ``k1``, ... with what ``mix`` gives."""
+    kept = [f"k{i}" for i in range(len(keep))]
+    own = lambda c: F.col(f"`{c}`")
     sized = written(docs.select(
-        F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), sizes(text).alias("size")
+        *[own(c).alias(k) for k, c in zip(kept, keep)], own(source).cast("string").alias("source"), sizes(text).alias("size"),
+        F.xxhash64(F.lit(seed), own(doc_id), own(text)).alias("h"),
     ), "sizes")
     goal = written(targets(sized, weights, most), "targets")
     same = F.col("s.source").eqNullSafe(F.col("t.source"))
@@ -178,10 +175,9 @@ def mix(
 
     # Documents of a size of which some are taken once more: by bins of their hash, then within
     # the one bin in which the number is reached.
-    hashed = sized.withColumn("h", F.xxhash64(F.lit(seed), "doc_id"))
     bin_of = F.pmod(F.shiftrightunsigned("h", 48), F.lit(BINS)).cast("int")
     key = F.col("s.source").eqNullSafe(F.col("p.source")) & (F.col("s.size") == F.col("p.size"))
-    rows = hashed.withColumn("bin", bin_of).alias("s").join(small_side(plan).alias("p"), key, "left").select(
+    rows = sized.withColumn("bin", bin_of).alias("s").join(small_side(plan).alias("p"), key, "left").select(
         "s.*", F.coalesce("whole", F.lit(0)).alias("whole"), F.coalesce("more", F.lit(0)).alias("more"),
         F.coalesce("n", F.lit(0)).alias("n"),
     )
@@ -196,21 +192,34 @@ def mix(
     at_cut = F.col("bin") == F.col("cut_bin")
     simple = rows.filter(~F.coalesce(at_cut, F.lit(False))).withColumn(
         "extra", (F.col("more") > 0) & (F.col("cut_bin").isNull() | (F.col("bin") < F.col("cut_bin"))))
-    within = Window.partitionBy("source", "size").orderBy("h", "doc_id")
+    within = Window.partitionBy("source", "size").orderBy("h")
     ranked = rows.filter(at_cut).withColumn("extra", F.row_number().over(within) <= F.col("rest"))
     taken = simple.unionByName(ranked).select(
-        "doc_id", "source", "size", (F.col("whole") + F.col("extra").cast("long")).alias("copies"))
+        *kept, "source", "size", (F.col("whole") + F.col("extra").cast("long")).alias("copies"))
     return taken.alias("s").join(small_side(goal).alias("t"), same).select(
-        "doc_id", "s.source", "size", "source_size", "target", "copies")
+        *kept, "s.source", "size", "source_size", "target", "copies")
+
+
+def mix(
+    docs: DataFrame,
+    weights: Sequence[float] = WEIGHTS,
+    most: int = MOST,
+    seed: int = SEED,
+    source: str = "source",
+    text: str = "text",
+    doc_id: str = "doc_id",
+) -> DataFrame:
+    """``doc_id``, ``source``, ``size``, ``source_size``, ``target`` and ``copies`` of each document."""
+    return _taken(docs, [doc_id], weights, most, seed, source, text, doc_id).withColumnRenamed("k0", "doc_id")
 
 
 def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST, seed: int = SEED) -> DataFrame:
-    """The mix itself: each document as often as it is taken, with the number of the copy.
+    """The mix itself: each row as often as it is taken, with the number of the copy.
 
-    Rows with one doc_id are taken alike here: as often as the most taken of them.
+    A row's own columns go with it, so rows without an id or with the same one are taken each by
+    its own number of copies.
     """
-    copies = mix(docs, weights, most, seed).groupBy("doc_id").agg(F.max("copies").alias("n"))
-    n, name, own = free_names(docs, "__n", "copy", "__id")
-    copies = written(copies.filter("n > 0").select(F.col("doc_id").alias(own), F.col("n").alias(n)), "copies")
-    out = docs.join(small_side(copies), F.col("doc_id").eqNullSafe(F.col(own))).drop(own)
-    return out.withColumn(name, F.explode(F.sequence(F.lit(1), F.col(n).cast("int")))).drop(n)
+    name, = free_names(docs, "copy")
+    rows = _taken(docs, docs.columns, weights, most, seed, "source", "text", "doc_id").filter("copies > 0")
+    columns = [F.col(f"k{i}").alias(c) for i, c in enumerate(docs.columns)]
+    return rows.select(*columns, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias(name))

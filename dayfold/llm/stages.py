@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from . import classifier, decontamination, jaccard, mixing, pii
 from .common import table
 
+# Fixed values of the contract for near duplicates in a pipeline.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def _recounted(docs: DataFrame) -> DataFrame:
     if "n_chars" not in docs.columns:
@@ -26,8 +29,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id."""
-    return jaccard.deduplicated(docs)
+    """One document of each group of near duplicates, by shingles of five words and a similarity of
+    0.8 or more: the one with the smallest id."""
+    return jaccard.deduplicated(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

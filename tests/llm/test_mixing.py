@@ -3,6 +3,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from dayfold.llm import mixing, queries
 
@@ -107,3 +108,17 @@ def test_query_on_the_smallest_tables(spark):
         assert r["target"] == pytest.approx(want[source], abs=1e-3) and r["taken"] in (0, r["size"], 2 * r["size"], 3 * r["size"])
         got[source] = got.get(source, 0) + r["taken"]
     assert all(abs(got[s] - want[s]) <= 40 for s in want)
+
+
+def test_rows_without_or_with_repeated_ids_are_taken_each_by_its_own_number(spark):
+    rows = [(None if i % 3 else i % 7, f"s{i % 4}", "w " * (1 + i * 7 % 13) + f"t{i}") for i in range(400)]
+    rows += [(7, "s1", "same text of seven")] * 9 + [(None, "s2", "same text of none")] * 9
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    plan = mixing.mix(df)
+    goal = {r["source"]: r["target"] for r in plan.select("source", "target").distinct().collect()}
+    out = mixing.mixed(df).collect()
+    for source, target in goal.items():
+        words = sum(len(r["text"].split()) for r in out if r["source"] == source)
+        assert words <= target < words + 1
+        assert words == plan.filter(F.col("source") == source).selectExpr("sum(size * copies)").first()[0]
+    assert sorted(map(str, out)) == sorted(map(str, mixing.mixed(df.repartition(5)).collect()))
