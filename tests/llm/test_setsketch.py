@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from dayfold.llm import queries, setsketch
 from test_jaccard import SCHEMA, brute, families
@@ -21,12 +22,22 @@ def test_components_equal_brute_force(spark, seed):
     assert run(spark, docs) == expected(docs)
 
 
-def test_full_buckets_are_told_apart_by_other_bands(spark, monkeypatch):
-    monkeypatch.setattr(setsketch, "FEW", 2)
+def test_full_buckets(spark, monkeypatch):
+    monkeypatch.setattr(setsketch, "SPARSE", 0)
+    monkeypatch.setattr(setsketch, "CELL", 8)
     docs = families(7, sizes=(60, 120, 240), members=25)
     assert run(spark, docs) == expected(docs)
 
 
+def test_copies_that_drift_apart_are_one_component(spark):
+    words = [f"w{i}" for i in range(300)]
+    docs = []
+    for i in range(150):
+        words[7 * i % 300] = f"x{i}"
+        docs.append((i, " ".join(words)))
+    assert run(spark, docs) == expected(docs) and {c for *_, c, _ in run(spark, docs)} == {0}
+
+
 def test_nulls_empty_texts_repeated_ids_and_rows(spark):
     long = " ".join(f"w{i}" for i in range(200))
     docs = [(1, None), (2, ""), (3, " \t\n"), (4, "a"), (5, "A"), (6, "a b"), (7, long), (7, long), (7, "other text of seven"),
@@ -61,6 +72,17 @@ def test_registers_merge_and_agree_in_proportion():
     assert abs(np.mean(equal) - 0.856) < 0.015  # similarity 0.85 on a scale of powers of 1.1
 
 
+def test_agreement_of_packed_registers(spark):
+    rng = np.random.default_rng(8)
+    one, two = rng.integers(0, 4, size=(2, 50, setsketch.REGISTERS)).astype(np.uint8) * 85
+    two[0] = one[0]
+    packs = [setsketch.packed(x) for x in (one, two)]
+    assert (setsketch._registers(packs[0]) == one).all()
+    df = spark.createDataFrame([(i, packs[0][i].as_py(), packs[1][i].as_py()) for i in range(50)], "i int, a array<long>, b array<long>")
+    found = df.select("i", setsketch.equal(F.col("a"), F.col("b")).alias("same")).collect()
+    assert {r["i"]: r["same"] for r in found} == dict(enumerate((one == two).sum(axis=1).tolist()))
+
+
 def test_likelihood_keeps_similar_pairs_and_drops_others():
     rng = np.random.default_rng(4)
     kept = {}
