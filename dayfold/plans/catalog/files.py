@@ -15,11 +15,11 @@ from ...model import COMMENT_KEY, DAY, KINDS
 from ...session import work_path
 from ...sources import archives, drops
 from ...sources.drops import open_file
-from ...sources.results import append_day, read_table
+from ...sources.results import append_batch, append_day, read_batches, read_table
 from ..ingest import ingest
 from . import derived
 from .derived import DROP_TYPES, EVENTS_SQL, sql_day, sql_types
-from .registry import query, table
+from .registry import SQL, query, table
 
 NOW = dt.datetime(2024, 2, 1)
 
@@ -191,6 +191,21 @@ def append_days(spark, sf):
     )
 
 
+@query(SQL["append_days"])
+def append_days_twice(spark, sf):
+    """Two batches of which one is appended again, and one after a batch of the same id with other rows."""
+    path = work_path(spark, "batches")
+    rows = derived.keyed_events(spark, sf).drop("ts")
+    view, other = rows.filter(F.col("event_type") == "view"), rows.filter(F.col("event_type") != "view")
+    append_batch(view, path, "view")
+    append_batch(rows.filter("value > 50"), path, "other")
+    append_batch(view, path, "view")
+    append_batch(other, path, "other")
+    return read_batches(spark, path, rows.schema).groupBy(*DAY).agg(
+        F.count("*").alias("rows"), F.round(F.sum("value"), 2).alias("total")
+    )
+
+
 def write_archives(df, root: str) -> None:
     """Write rows ``name, text`` as tar.xz archives from within tasks, one per Arrow batch."""
 

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from ...model import BUSINESS_KEY, DAY
 from ...operators import enrich
+from ...session import work_path
+from ...sources.results import read_table
+from ..day_run import LEDGER, finished_rows, media_run, media_steps, queue_of, run_steps
 from ..media import member_files, recorded
 from . import derived
 from .derived import EVENTS_SQL, MEDIA_SQL
@@ -114,6 +119,16 @@ SELECT sha256(concat_ws('|', meta_id, year, month, date)) AS id, meta_id, year,
 FROM d""")
 def record_members(spark, sf):
     """Members of archives joined to their outcomes by name; failed members leave no rows."""
+    members, outcomes = _members(spark, sf)
+    has_transcript = F.col("transcript_text").isNotNull()
+    return recorded(members, outcomes).select(
+        "id", *BUSINESS_KEY, "file_path", has_transcript.alias("has_transcript"),
+        F.when(has_transcript, F.col("duration_seconds")).alias("duration_seconds"),
+    )
+
+
+def _members(spark, sf):
+    """File rows of members, one per event, and what became of them."""
     archive = F.concat(F.lit("0_"), F.date_format("ts", "yyyy-MM-dd_HH_mm"), F.lit(".tar.xz"))
     rows = table(spark, sf, "events").select(
         "event_type", "value", "event_id", archive.alias("archive"),
@@ -128,8 +143,31 @@ def record_members(spark, sf):
         F.lit(1).cast("long").alias("word_count"),
         F.col("value").alias("duration_seconds"),
     )
-    has_transcript = F.col("transcript_text").isNotNull()
-    return recorded(members, outcomes).select(
-        "id", *BUSINESS_KEY, "file_path", has_transcript.alias("has_transcript"),
-        F.when(has_transcript, F.col("duration_seconds")).alias("duration_seconds"),
-    )
+    return members, outcomes
+
+
+@query("""
+SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS date,
+  CASE WHEN count(*) FILTER (event_type = 'error') = 0 THEN 'completed'
+    WHEN count(*) FILTER (event_type <> 'error') > 0 THEN 'completed_with_errors' ELSE 'processing_failed' END AS status,
+  CASE WHEN count(*) FILTER (event_type = 'error') > 0 THEN 'Failed files: ' || count(*) FILTER (event_type = 'error')
+    || ', Processed: ' || count(*) FILTER (event_type <> 'error') END AS error_message,
+  count(*) FILTER (event_type <> 'error') AS files, count(*) FILTER (event_type = 'purchase') AS transcripts, 4 AS steps
+FROM events GROUP BY ALL""")
+def day_run(spark, sf):
+    """A media run of all days, taken up by a second run after a first one that ended between two steps."""
+    members, outcomes = _members(spark, sf)
+    days, root = members.select(*DAY).distinct(), work_path(spark, "day-run")
+    first = media_steps(members, outcomes, root, "first", datetime(2024, 2, 1))
+    run_steps(spark, days, first[:2], root, "first", datetime(2024, 2, 1))
+    first[2][1](days)  # killed after the table was written and before the ledger knew
+    media_run(spark, days, members, outcomes, root, "second", datetime(2024, 2, 2))
+    count = lambda name, rows: rows.groupBy(*DAY).agg(F.count("*").alias(name))
+    out = queue_of(spark, root).select(*DAY, "status", "error_message")
+    for name, rows in [
+        ("files", finished_rows(spark, root, "audio_files", "audio_files")),
+        ("transcripts", finished_rows(spark, root, "transcripts", "transcripts")),
+    ]:
+        out = out.join(count(name, rows), DAY, "left").withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
+    ledger = read_table(spark, f"{root}/ledger", LEDGER).groupBy(*DAY).agg(F.count("*").cast("int").alias("steps"))
+    return out.join(ledger, DAY, "left")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import time
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -48,6 +51,53 @@ def append_day(df: DataFrame, path: str, days: Sequence[str] = DAY) -> None:
     df.hint("rebalance", *days).write.mode("append").partitionBy(*days).parquet(path)
 
 
+# Columns that tell the batches of a table and the attempts at each apart; batches that are listed in
+# at most so many rows are broadcast to the scan.
+BATCH = ["batch", "attempt"]
+LISTED_BATCHES = 100_000
+
+
+def _committed(spark: SparkSession, path: str) -> DataFrame:
+    """The attempt that counts for each batch: the one committed last.
+
+    Every commit has a moment; comparing it lets Spark take the list for one worth pruning by.
+    """
+    commits = read_table(spark, f"{path}_batches", T.StructType(
+        [T.StructField(c, T.StringType()) for c in BATCH] + [T.StructField("at", T.LongType())]))
+    return commits.filter("at > 0").groupBy("batch").agg(F.max_by("attempt", F.struct("at", "attempt")).alias("attempt"))
+
+
+def append_batch(df: DataFrame, path: str, batch: str, days: Sequence[str] = DAY) -> None:
+    """Append rows once, however often it is called with one batch id.
+
+    Each call writes a folder of its own and then a row beside the table that names it. Until that
+    row is there readers do not see the rows, and from then on they see them in place of those of an
+    earlier call with the same id; the earlier folder is deleted afterwards. A call that fails leaves
+    the table as it was.
+    """
+    if not re.fullmatch(r"[\w.-]+", batch, re.ASCII):
+        raise ValueError(f"a batch id is made of letters, digits, '_', '.' and '-': {batch!r}")
+    spark, attempt = df.sparkSession, uuid.uuid4().hex
+    folder = f"{path}/batch={batch}"
+    before = [r["attempt"] for r in _committed(spark, path).filter(F.col("batch") == batch).collect()]
+    df.hint("rebalance", *days).write.partitionBy(*days).parquet(f"{folder}/attempt={attempt}")
+    row = spark.createDataFrame([(batch, attempt, time.time_ns())], "batch string, attempt string, at long")
+    row.coalesce(1).write.mode("append").parquet(f"{path}_batches")
+    for old in before:
+        remove(spark, f"{folder}/attempt={old}")
+
+
+def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of all committed batches; folders of attempts that do not count are not read."""
+    committed = _committed(spark, path)
+    if not exists(spark, path) or committed.isEmpty():
+        return spark.createDataFrame([], schema)
+    told = T.StructType([*schema.fields, *[T.StructField(c, T.StringType()) for c in BATCH]])
+    rows = spark.read.schema(told).parquet(path)
+    few = committed.count() <= LISTED_BATCHES
+    return rows.join(F.broadcast(committed) if few else committed, BATCH, "left_semi").select(*schema.fieldNames())
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A stored table, or an empty one of the same schema where nothing is stored yet."""
     if not exists(spark, path):
@@ -117,6 +167,11 @@ def upsert_table(
     return f"{work}/merged"
 
 
+def replace_days(df: DataFrame, path: str, days: Sequence[str] = DAY) -> None:
+    """Store rows in place of what the table holds of their days; repeating it changes nothing."""
+    _replace_days(df.hint("rebalance", *days), path, days)
+
+
 def _replace_days(df: DataFrame, path: str, days: Sequence[str]) -> None:
     (
         df.write.mode("overwrite")
