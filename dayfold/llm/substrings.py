@@ -1,16 +1,20 @@
 """Substring removal with prefix-partitioned suffix trees.
 
 Every window of ``window`` words that also starts earlier, in a document with a smaller id or
-before it in its own, is a repeat, and its words go. Suffixes of documents are cut to the window:
-two suffixes meet at that depth of a suffix tree exactly if their windows are equal, so every node
-there with more than one suffix is a repeat, and its first suffix in document order is what stays.
+before it in its own, is a repeat, and its words go. Two suffixes are below one node at the depth of
+the window exactly if their windows are equal, so every node there with more than one suffix is a
+repeat, and its first suffix in document order is what stays.
 
 The tree is never built whole. Suffixes are dealt to groups by a prefix of their words: the
-shortest of ``PREFIXES`` with few enough suffixes to fit in memory. Each group's subtree is built by
-one task. Where even the whole window leaves too many, as with a passage that a third of all
-documents share, there is nothing left to split: that group is one node, and its first suffix is
+shortest of ``PREFIXES`` with few enough suffixes to fit in memory. One task builds each group's
+subtree: it sorts the suffixes by their words, takes the common prefixes of neighbours and makes the
+nodes with a stack. Where even the whole window leaves too many, as with a passage that a third of
+all documents share, there is nothing left to split: that group is one node, and its first suffix is
 found by partial minima.
 
+``repeats`` needs no node below the window, so suffixes are cut to it. ``maximal_repeats`` follows
+suffixes as far as they repeat, and gives the deep nodes themselves.
+
 Three steps keep down what has to move, none of which can lose a repeat:
 * A document with the same words as one with a smaller id is a repeat as a whole.
 * Each window has an anchor, the smallest of the hashes of its runs of ``RUN`` words. Equal windows
@@ -19,7 +23,8 @@ Three steps keep down what has to move, none of which can lose a repeat:
 
 Words are runs of anything but ASCII white space. A null or empty text has no words. A null id comes
 before all others. Rows with equal ids count as one document for what is earlier, but each loses its
-own words only. Windows are compared by 64-bit hashes within groups of a common prefix hash.
+own words only. Hashes only deal suffixes to groups and pick candidates; suffixes are compared by
+their words, whole documents by a 128-bit digest.
 """
 
 from __future__ import annotations
@@ -41,7 +46,7 @@ WINDOW, RUN = 20, 8
 PREFIXES = (2, 5, 10)
 
 # Suffixes of a group: at least, and at most, so that it fits in a task's memory.
-FEWEST, MOST = 1_000, 500_000
+FEWEST, MOST = 1_000, 250_000
 BUCKETS = 1 << 20
 
 # Largest filter of anchors that is sent to the tasks. With more anchors each document gets its own
@@ -214,14 +219,26 @@ def _grouping(rows: DataFrame, pick, n: int, window: int) -> tuple[np.ndarray, i
     return fits, len(lengths)
 
 
+def _spaced(texts: pa.Array, words) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The words of a piece with one blank between them, and where each starts and ends in that."""
+    data, _ = bytes_of(texts)
+    size = words.end - words.start
+    before = np.cumsum(size) - size
+    first = before + np.arange(len(size))
+    at = np.arange(int(size.sum()))
+    out = np.full(len(at) + len(size), 0x20, dtype=np.uint8)
+    out[at + np.repeat(np.arange(len(size)), size)] = data[at + np.repeat(words.start - before, size)]
+    return out.tobytes(), first, first + size
+
+
 def _suffixes(rows: DataFrame, pick, fits, window: int) -> DataFrame:
     """Candidate suffixes with their group, and per document the starts of windows it has twice.
 
     A suffix's group is its level and bucket in one number; a negative one is a full bucket of whole
-    windows.
+    windows. ``words`` are those of the window, with one blank between them.
     """
     lengths = [k for k in PREFIXES if k < window] + [window]
-    schema = "id long, sub int, part long, h long, start int, again array<int>"
+    schema = "id long, sub int, part long, words binary, start int, again array<int>"
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         candidates, small = pick(), fits.value
@@ -237,10 +254,13 @@ def _suffixes(rows: DataFrame, pick, fits, window: int) -> DataFrame:
                 now = open_ & small[level][bucket]
                 part[now] = bucket[now] * len(lengths) + level
                 open_ &= ~now
+            spaced, begins, ends = _spaced(texts.slice(low, len(words.first) - 1), words)
+            own_words = [spaced[a:b] for a, b in zip(begins[start].tolist(), ends[start + window - 1].tolist())]
             # Of equal windows in one document only the first goes on.
             order = np.lexsort((start, whole, doc))
-            same = (whole[order][1:] == whole[order][:-1]) & (doc[order][1:] == doc[order][:-1])
-            later = order[np.flatnonzero(same) + 1]
+            same = np.flatnonzero((whole[order][1:] == whole[order][:-1]) & (doc[order][1:] == doc[order][:-1]))
+            same = same[[own_words[order[i]] == own_words[order[i + 1]] for i in same.tolist()]] if len(same) else same
+            later = order[same + 1]
             first = np.ones(len(start), dtype=bool)
             first[later] = False
             subs = {int(d): _sub(_identity(texts[low + int(d)].as_buffer().to_pybytes().split())) for d in np.unique(doc)}
@@ -248,32 +268,86 @@ def _suffixes(rows: DataFrame, pick, fits, window: int) -> DataFrame:
             begin = (start - words.first[doc]).astype(np.int32)
             n = int(first.sum())
             yield pa.RecordBatch.from_arrays([
-                pa.array(ids[low + doc[first]]), pa.array(sub[first]), pa.array(part[first]), pa.array(whole[first].view(np.int64)),
-                pa.array(begin[first]), pa.nulls(n, pa.list_(pa.int32()))], names=["id", "sub", "part", "h", "start", "again"])
+                pa.array(ids[low + doc[first]]), pa.array(sub[first]), pa.array(part[first]),
+                pa.array([own_words[i] for i in np.flatnonzero(first).tolist()], pa.binary()),
+                pa.array(begin[first]), pa.nulls(n, pa.list_(pa.int32()))], names=["id", "sub", "part", "words", "start", "again"])
             twice = np.unique(doc[later])
             if len(twice):
                 own = [np.sort(begin[later][doc[later] == d]).tolist() for d in twice]
-                none = pa.nulls(len(twice), pa.int64())
+                none = [pa.nulls(len(twice), kind) for kind in (pa.int64(), pa.binary(), pa.int32())]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(ids[low + twice]), pa.array([subs[int(d)] for d in twice], pa.int32()), none, none,
-                    pa.nulls(len(twice), pa.int32()), pa.array(own, pa.list_(pa.int32()))],
-                    names=["id", "sub", "part", "h", "start", "again"])
+                    pa.array(ids[low + twice]), pa.array([subs[int(d)] for d in twice], pa.int32()), *none,
+                    pa.array(own, pa.list_(pa.int32()))], names=["id", "sub", "part", "words", "start", "again"])
 
     return map_batches(rows, run, schema)
 
 
-def _subtree(suffixes: pd.DataFrame) -> pd.DataFrame:
-    """Suffixes of one group that are not the first below their node at window depth.
+def common_words(a: bytes, b: bytes) -> int:
+    """How many whole words two suffixes have in common from their start."""
+    if a == b:
+        return a.count(b" ") + 1
+    short = min(len(a), len(b))
+    low, step = 0, 64
+    while low < short and a[low : low + step] == b[low : low + step]:  # stretches that double
+        low, step = min(low + step, short), 2 * step
+    high = min(low + step, short)
+    while low < high:
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if a[low:mid] == b[low:mid] else (low, mid - 1)
+    at_end = all(low == len(x) or x[low] == 0x20 for x in (a, b)) and low > 0
+    return a.count(b" ", 0, low) + at_end
+
 
-    Sorted suffixes are the leaves of the subtree from left to right; neighbours that share the
-    window are below one deep node.
+def deep_nodes(leaves: Iterator[tuple[bytes, object]], least: int, merge) -> Iterator[tuple[int, object, bytes]]:
+    """Nodes of a suffix tree that are at least so deep, from its leaves in the order of their words.
+
+    A leaf has its words and what it carries; equal leaves are one node. Gives each node's depth, what
+    its leaves carry, merged, and the words of one of them. The stack holds the path of open nodes.
     """
-    order = np.lexsort((suffixes["start"], suffixes["id"], suffixes["h"]))
-    leaves = suffixes.iloc[order]
-    h, place = leaves["h"].to_numpy(), leaves[["id", "start"]].to_numpy()
-    edge = np.concatenate(([True], h[1:] != h[:-1]))
-    first = place[np.maximum.accumulate(np.where(edge, np.arange(len(h)), 0))]
-    return leaves.loc[(place != first).any(axis=1), ["id", "sub", "start"]]
+    stack: list[list] = []
+    last = None
+
+    def close(depth: int) -> Iterator[tuple[int, object, bytes]]:
+        held = None
+        while stack and stack[-1][0] > depth:
+            at, own = stack.pop()
+            held = own if held is None else merge(own, held)
+            yield at, held, last
+        if held is not None and depth >= least:
+            if stack and stack[-1][0] == depth:
+                stack[-1][1] = merge(stack[-1][1], held)
+            else:
+                stack.append([depth, held])
+
+    for words, carried in leaves:
+        shared = 0 if last is None else common_words(last, words)
+        yield from close(shared if shared >= least else 0)
+        size = words.count(b" ") + 1
+        if stack and stack[-1][0] == size:
+            stack[-1][1] = merge(stack[-1][1], carried)
+        elif size >= least:
+            stack.append([size, carried])
+        last = words
+    yield from close(0)
+
+
+def _subtree(window: int):
+    """Suffixes of one group that are not the first below their node at window depth."""
+
+    def run(suffixes: pd.DataFrame) -> pd.DataFrame:
+        rows = list(zip(suffixes["words"], suffixes["id"].tolist(), suffixes["start"].tolist(), suffixes["sub"].tolist()))
+        rows.sort(key=lambda row: row[0])
+        leaves = ((words, [(id_, start, sub)]) for words, id_, start, sub in rows)
+        later = []
+        for _, places, _ in deep_nodes(leaves, window, lambda a, b: a.extend(b) or a):
+            if len(places) > 1:
+                first = min(places)[:2]
+                later.extend(p for p in places if p[:2] != first)
+        return pd.DataFrame({
+            "id": pd.array([p[0] for p in later], "int64"), "sub": pd.array([p[2] for p in later], "int32"),
+            "start": pd.array([p[1] for p in later], "int32")})
+
+    return run
 
 
 def _spans(window: int):
@@ -322,12 +396,13 @@ def repeats(docs: DataFrame, window: int = WINDOW, run: int = RUN, text: str = "
 
     fits, levels = _grouping(rows, pick, places * (window - run + 1) // 2, window)
     suffixes = written(_suffixes(rows, pick, spark.sparkContext.broadcast(fits), window), "suffixes")
-    in_groups = suffixes.filter("part >= 0").select("id", "sub", "part", "h", "start")
-    trees = in_groups.groupBy("part").applyInPandas(_subtree, "id long, sub int, start int")
-    full = suffixes.filter("part < 0").select("id", "sub", "h", "start")
+    in_groups = suffixes.filter("part >= 0").select("id", "sub", "part", "words", "start")
+    trees = in_groups.groupBy("part").applyInPandas(_subtree(window), "id long, sub int, start int")
+    full = suffixes.filter("part < 0").select("id", "sub", "words", "start")
     place = F.struct("id", "start")
-    nodes = written(full.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last").select("h", "first"), "full-nodes")
-    hot = full.join(nodes, "h").filter(place != F.col("first")).select("id", "sub", "start")
+    nodes = full.groupBy("words").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last")
+    nodes = written(nodes.select("words", "first"), "full-nodes")
+    hot = full.join(nodes, "words").filter(place != F.col("first")).select("id", "sub", "start")
     later = trees.union(hot).select("id", "sub", F.array("start").alias("again"))
     again = suffixes.filter("again IS NOT NULL").select("id", "sub", "again")
     starts = later.union(again).groupBy("id", "sub").agg(F.flatten(F.collect_list("again")).alias("starts"))
