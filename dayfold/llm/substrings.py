@@ -231,14 +231,15 @@ def _spaced(texts: pa.Array, words) -> tuple[bytes, np.ndarray, np.ndarray]:
     return out.tobytes(), first, first + size
 
 
-def _suffixes(rows: DataFrame, pick, fits, window: int) -> DataFrame:
+def _suffixes(rows: DataFrame, pick, fits, window: int, every: bool) -> DataFrame:
     """Candidate suffixes with their group, and per document the starts of windows it has twice.
 
     A suffix's group is its level and bucket in one number; a negative one is a full bucket of whole
-    windows. ``words`` are those of the window, with one blank between them.
+    windows. ``words`` are those of the window, with one blank between them. With ``every``, windows
+    that a document has twice are suffixes like others, and ``before`` is the word before each.
     """
     lengths = [k for k in PREFIXES if k < window] + [window]
-    schema = "id long, sub int, part long, words binary, start int, again array<int>"
+    schema = "id long, sub int, part long, words binary, start int, before binary, again array<int>"
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         candidates, small = pick(), fits.value
@@ -260,24 +261,29 @@ def _suffixes(rows: DataFrame, pick, fits, window: int) -> DataFrame:
             order = np.lexsort((start, whole, doc))
             same = np.flatnonzero((whole[order][1:] == whole[order][:-1]) & (doc[order][1:] == doc[order][:-1]))
             same = same[[own_words[order[i]] == own_words[order[i + 1]] for i in same.tolist()]] if len(same) else same
-            later = order[same + 1]
+            later = order[:0] if every else order[same + 1]
             first = np.ones(len(start), dtype=bool)
             first[later] = False
             subs = {int(d): _sub(_identity(texts[low + int(d)].as_buffer().to_pybytes().split())) for d in np.unique(doc)}
             sub = np.array([subs[d] for d in doc.tolist()], dtype=np.int32)
             begin = (start - words.first[doc]).astype(np.int32)
             n = int(first.sum())
+            before = pa.nulls(n, pa.binary())
+            if every:
+                before = pa.array([spaced[a:b] if k else None for k, a, b in zip(
+                    begin.tolist(), begins[start - 1].tolist(), ends[start - 1].tolist())], pa.binary())
             yield pa.RecordBatch.from_arrays([
                 pa.array(ids[low + doc[first]]), pa.array(sub[first]), pa.array(part[first]),
                 pa.array([own_words[i] for i in np.flatnonzero(first).tolist()], pa.binary()),
-                pa.array(begin[first]), pa.nulls(n, pa.list_(pa.int32()))], names=["id", "sub", "part", "words", "start", "again"])
+                pa.array(begin[first]), before, pa.nulls(n, pa.list_(pa.int32()))],
+                names=["id", "sub", "part", "words", "start", "before", "again"])
             twice = np.unique(doc[later])
             if len(twice):
                 own = [np.sort(begin[later][doc[later] == d]).tolist() for d in twice]
-                none = [pa.nulls(len(twice), kind) for kind in (pa.int64(), pa.binary(), pa.int32())]
+                none = [pa.nulls(len(twice), kind) for kind in (pa.int64(), pa.binary(), pa.int32(), pa.binary())]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(ids[low + twice]), pa.array([subs[int(d)] for d in twice], pa.int32()), *none,
-                    pa.array(own, pa.list_(pa.int32()))], names=["id", "sub", "part", "words", "start", "again"])
+                    pa.array(own, pa.list_(pa.int32()))], names=["id", "sub", "part", "words", "start", "before", "again"])
 
     return map_batches(rows, run, schema)
 
@@ -366,11 +372,9 @@ def _spans(window: int):
     return run
 
 
-def repeats(docs: DataFrame, window: int = WINDOW, run: int = RUN, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Stretches of words that go: ``id`` (a null one as ``NO_ID``), ``sub``, which tells rows with
-    one id apart, and ``spans`` of words, first and end."""
-    spark = docs.sparkSession
-    own = _picked(docs, text, doc_id)
+def _dealt(own: DataFrame, window: int, run: int, every: bool) -> tuple[DataFrame, DataFrame]:
+    """Suffixes of the documents with their groups, and as spans the documents that are copies."""
+    spark = own.sparkSession
     marks = written(_marks(own).filter(F.col("n") >= window), "marks")
     firsts = marks.groupBy("sid").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first <> last")
     copies = marks.join(written(firsts, "copied"), "sid").filter("id > first")
@@ -395,7 +399,14 @@ def repeats(docs: DataFrame, window: int = WINDOW, run: int = RUN, text: str = "
         return held[0]
 
     fits, levels = _grouping(rows, pick, places * (window - run + 1) // 2, window)
-    suffixes = written(_suffixes(rows, pick, spark.sparkContext.broadcast(fits), window), "suffixes")
+    suffixes = written(_suffixes(rows, pick, spark.sparkContext.broadcast(fits), window, every), "suffixes")
+    return suffixes, whole
+
+
+def repeats(docs: DataFrame, window: int = WINDOW, run: int = RUN, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """Stretches of words that go: ``id`` (a null one as ``NO_ID``), ``sub``, which tells rows with
+    one id apart, and ``spans`` of words, first and end."""
+    suffixes, whole = _dealt(_picked(docs, text, doc_id), window, run, False)
     in_groups = suffixes.filter("part >= 0").select("id", "sub", "part", "words", "start")
     trees = in_groups.groupBy("part").applyInPandas(_subtree(window), "id long, sub int, start int")
     full = suffixes.filter("part < 0").select("id", "sub", "words", "start")
@@ -409,6 +420,80 @@ def repeats(docs: DataFrame, window: int = WINDOW, run: int = RUN, text: str = "
     return map_batches(starts, _spans(window), whole.schema).unionByName(whole)
 
 
+def _followed(window: int):
+    """Suffixes of a document from each listed opening to where it stops repeating."""
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for id_, value, lists in zip(*(batch.column(i) for i in range(3))):
+            words = value.as_buffer().to_pybytes().split()
+            sub, rows = _sub(_identity(words)), []
+            for places in lists.as_py():
+                if places["sub"] != sub:
+                    continue
+                opens = {p["start"]: p["opens"] for p in places["places"]}
+                end = -1
+                for start in sorted(opens, reverse=True):
+                    end = end if start + 1 in opens else start + window
+                    if opens[start]:
+                        rows.append((start, words[start : start + window], words[start:end], words[start - 1] if start else None))
+            yield pa.RecordBatch.from_arrays([
+                pa.array([id_.as_py()] * len(rows), pa.int64()), pa.array([sub] * len(rows), pa.int32()),
+                pa.array([r[0] for r in rows], pa.int32()), pa.array([b" ".join(r[1]) for r in rows], pa.binary()),
+                pa.array([b" ".join(r[2]) for r in rows], pa.binary()), pa.array([r[3] for r in rows], pa.binary())],
+                names=["id", "sub", "start", "node", "words", "before"])
+
+    return run
+
+
+def _joined(a: tuple, b: tuple) -> tuple:
+    """What two sets of places have together: number, number with a word before, least and greatest of these, first place."""
+    lows, highs = ([x for x in pair if x is not None] for pair in ((a[2], b[2]), (a[3], b[3])))
+    return a[0] + b[0], a[1] + b[1], min(lows, default=None), max(highs, default=None), min(a[4], b[4])
+
+
+def _maximal(window: int):
+    """Deep nodes of one subtree whose places do not all have one and the same word before them."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("words")
+        leaves = ((r.words, (r.n, r.befores, r.low, r.high, (r.id, r.start))) for r in rows.itertuples())
+        out = []
+        for depth, (n, befores, low, high, place), words in deep_nodes(leaves, window, _joined):
+            if n > 1 and (n > befores or low != high):
+                out.append((b" ".join(words.split(b" ")[:depth]).decode(), depth, n, *place))
+        return pd.DataFrame(out, columns=["words", "n_words", "n_places", "id", "start"])
+
+    return run
+
+
+def maximal_repeats(docs: DataFrame, window: int = WINDOW, run: int = RUN, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """Maximal repeats of at least ``window`` words, one row each: its ``words`` with one blank between
+    them, ``n_words``, ``n_places``, and ``id`` and ``start`` of the first place.
+
+    A repeat stands in two places or more and gets fewer by any word before or after it. Documents
+    with the same words are one text, that of the smallest id; a null id is ``NO_ID``. No repeat is
+    cut: a suffix is followed as long as its windows repeat, which is past the end of every repeat
+    that begins with it. Only suffixes are followed at whose windows a repeat can begin, as not all
+    places have the same word before. Equal suffixes are counted before they are sent on, so a task
+    gets the different repeated continuations of one window.
+    """
+    own = _picked(docs, text, doc_id)
+    suffixes, copies = _dealt(own, window, run, True)
+    suffixes = suffixes.join(copies.select("id", "sub"), ["id", "sub"], "left_anti").dropDuplicates(["id", "sub", "start"])
+    befores = [F.count("before").alias("befores"), F.min("before").alias("low"), F.max("before").alias("high")]
+    nodes = suffixes.groupBy("words").agg(F.count("*").alias("n"), *befores).filter("n > 1")
+    nodes = written(nodes.select("words", (F.expr("n > befores") | (F.col("low") != F.col("high"))).alias("opens")), "deep-nodes")
+    places = suffixes.join(nodes, "words").groupBy("id", "sub").agg(F.collect_list(F.struct("start", "opens")).alias("places"))
+    lists = written(places.groupBy("id").agg(F.collect_list(F.struct("sub", "places")).alias("lists")), "repeat-places")
+    schema = "id long, sub int, start int, node binary, words binary, before binary"
+    followed = map_batches(own.filter("text IS NOT NULL").join(lists, "id"), _followed(window), schema)
+    leaves = followed.dropDuplicates(["id", "sub", "start"]).groupBy("node", "words").agg(
+        F.count("*").alias("n"), *befores, F.min(F.struct("id", "start")).alias("place"))
+    leaves = leaves.select("node", "words", "n", "befores", "low", "high", "place.id", "place.start")
+    return leaves.groupBy("node").applyInPandas(
+        _maximal(window), "words string, n_words long, n_places long, id long, start int")
+
+
 def _kept(docs: DataFrame, spans: DataFrame, keep: list[str], window: int, text: str, doc_id: str) -> DataFrame:
     """``keep`` columns with ``n_words``, ``n_removed`` and the ``kept`` words, joined by blanks."""
     lists = written(spans.groupBy("id").agg(F.collect_list(F.struct("sub", "spans")).alias("gone")), "removals")

@@ -36,6 +36,24 @@ def run(spark, docs, window=4, run=2):
     return sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in rows), key=repr)
 
 
+def brute_maximal(docs, window):
+    """(words, number of places, first place) of the maximal repeats, by going through all runs of words."""
+    own = {}
+    for doc, text in docs:
+        words = tuple(WORD.findall(text or ""))
+        doc = substrings.NO_ID if doc is None else doc
+        own[words] = min(own.get(words, doc), doc)
+    places = {}
+    for words, doc in own.items():
+        for i in range(len(words)):
+            for j in range(i + window, len(words) + 1):
+                around = (words[i - 1] if i else (words, i), words[j] if j < len(words) else (words, j))
+                places.setdefault(words[i:j], []).append(((doc, i), *around))
+    return sorted(
+        (" ".join(k), len(k), len(p), *min(x[0] for x in p)) for k, p in places.items()
+        if len(p) > 1 and len({x[1] for x in p}) > 1 and len({x[2] for x in p}) > 1)
+
+
 def texts(seed, n=60):
     rng = random.Random(seed)
     say = lambda k: " ".join(rng.choice("abcdeÜ") for _ in range(k))
@@ -54,6 +72,26 @@ def test_against_brute_force(spark, seed):
     assert run(spark, docs) == brute(docs, 4)
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_maximal_repeats(spark, seed):
+    docs = texts(seed) + [(None, None), (None, "a b c d e a b c d e"), (700, "q w e r t y"), (701, "q w e r t y u"), (702, "o q w e r t")]
+    want = brute_maximal(docs, 4)
+    assert any(n > 4 for _, n, *_ in want) and ("q w e r t", 5, 3, 700, 0) in want
+    got = substrings.maximal_repeats(spark.createDataFrame(docs, SCHEMA), 4, 2).collect()
+    assert sorted(map(tuple, got)) == want
+    assert substrings.maximal_repeats(spark.createDataFrame([], SCHEMA), 4, 2).collect() == []
+
+
+def test_deep_nodes_of_nested_repeats():
+    leaves = sorted([b"a b c d", b"a b c", b"a b c d e", b"a b x", b"a bc", b"q"])
+    nodes = substrings.deep_nodes(((w, [w]) for w in leaves), 2, lambda a, b: a + b)
+    found = {(depth, len(below)) for depth, below, _ in nodes if len(below) > 1}
+    assert found == {(4, 2), (3, 3), (2, 4)}
+    assert substrings.common_words(b"a b c", b"a bc") == 1 and substrings.common_words(b"a b", b"a b c") == 2
+    long = b"w " * 5000
+    assert substrings.common_words(long + b"x y", long + b"xz") == 5000 and substrings.common_words(b"ab", b"a") == 0
+
+
 def test_full_groups_and_own_anchor_lists(spark, monkeypatch):
     docs = texts(9) + [(None, "a b c d e a b c d e"), (None, None), (-5, "a b c d e")]
     want = brute(docs, 4)
