@@ -5,12 +5,14 @@ before it in its own, is a repeat, and its words go. Two suffixes are below one
 the window exactly if their windows are equal, so every node there with more than one suffix is a
 repeat, and its first suffix in document order is what stays.
 
-The tree is never built whole. Suffixes are dealt to groups by a prefix of their words: the
-shortest of ``PREFIXES`` with few enough suffixes to fit in memory. One task builds each group's
-subtree: it sorts the suffixes by their words, takes the common prefixes of neighbours and makes the
-nodes with a stack. Where even the whole window leaves too many, as with a passage that a third of
-all documents share, there is nothing left to split: that group is one node, and its first suffix is
-found by partial minima.
+The tree is never built whole. Suffixes are dealt to groups by a prefix: the shortest of ``PREFIXES``
+with few enough suffixes to fit in memory. It is a prefix of the words at the suffix's anchor (below),
+which equal windows have at the same place, so that suffixes that follow one another mostly go to one
+group and their words are sent once for all of them; where a whole anchor leaves too many, it is the
+whole window. One task builds each group's subtree: it sorts the suffixes by their words, takes the
+common prefixes of neighbours and makes the nodes with a stack. Where even the window leaves too many,
+as with a passage that a third of all documents share, there is nothing left to split: that group is
+one node, and its first suffix is found by partial minima.
 
 ``repeats`` needs no node below the window, so suffixes are cut to it. ``maximal_repeats`` follows
 suffixes as far as they repeat, and gives the deep nodes themselves.
@@ -42,8 +44,8 @@ from .words import SPACED, Splitter, bytes_of, pieces
 
 WINDOW, RUN = 20, 8
 
-# Lengths of prefixes by which suffixes are grouped, besides the whole window.
-PREFIXES = (2, 5, 10)
+# Lengths of prefixes by which suffixes are grouped, besides the whole anchor and the whole window.
+PREFIXES = (2, 5)
 
 # Suffixes of a group: at least, and at most, so that it fits in a task's memory.
 FEWEST, MOST = 1_000, 250_000
@@ -158,9 +160,9 @@ class _Candidates:
         self.windows, self.table = Windows(window, run), table
 
     def __call__(self, batch: pa.RecordBatch):
-        """Per piece: first document, words, and start and document of each such window."""
+        """Per piece: first document, words, and start, anchor's place and document of each such window."""
         own = None if self.table is not None else batch.column(2)
-        for low, words, start, doc, hashes, _ in self.windows(batch.column(1)):
+        for low, words, start, doc, hashes, place in self.windows(batch.column(1)):
             if own is None:
                 hit = np.ones(len(hashes), dtype=bool)
                 for bit in _filter_bits(hashes, len(self.table) * 64):
@@ -171,13 +173,19 @@ class _Candidates:
                 for i in np.flatnonzero(np.diff(edges)):
                     listed = np.array(own[low + int(i)].as_py(), dtype=np.int64).view(_U)
                     hit[edges[i] : edges[i + 1]] = np.isin(hashes[edges[i] : edges[i + 1]], listed)
-            yield low, words, start[hit], doc[hit]
+            yield low, words, start[hit], place[hit], doc[hit]
 
     def prefix(self, words, start: np.ndarray, k: int) -> np.ndarray:
         """Hashes of the k words from each start."""
         hashes, at = self.windows.splitter.grams(words, k)
         return hashes[np.searchsorted(at, start)]
 
+    def prefixes(self, words, start: np.ndarray, place: np.ndarray) -> Iterator[np.ndarray]:
+        """Hashes of the prefixes by which suffixes are dealt, level by level."""
+        for k in (*(k for k in PREFIXES if k < self.windows.run), self.windows.run):
+            yield self.prefix(words, place, k)
+        yield self.prefix(words, start, self.windows.window)
+
 
 def _filter(anchors: DataFrame, n: int) -> np.ndarray | None:
     """A filter of the anchors as 64-bit words, or none if it would be too large."""
@@ -197,26 +205,25 @@ def _filter(anchors: DataFrame, n: int) -> np.ndarray | None:
     return table
 
 
-def _grouping(rows: DataFrame, pick, n: int, window: int) -> tuple[np.ndarray, int]:
+def _grouping(rows: DataFrame, pick, n: int, levels: int) -> np.ndarray:
     """For every length of prefix the buckets that are small enough to be a group, as a table."""
     most = min(MOST, max(FEWEST, n // 256))
     buckets = min(BUCKETS, 1 << (4 * n // most).bit_length())
-    lengths = [k for k in PREFIXES if k < window] + [window]
 
     def count(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         candidates = pick()
-        for _, words, start, _ in candidates(batch):
-            for level, k in enumerate(lengths):
-                bucket, many = np.unique(candidates.prefix(words, start, k) % _U(buckets), return_counts=True)
+        for _, words, start, place, _ in candidates(batch):
+            for level, hashes in enumerate(candidates.prefixes(words, start, place)):
+                bucket, many = np.unique(hashes % _U(buckets), return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(bucket), level, np.int32)), pa.array(bucket.astype(np.int64)), pa.array(many, pa.int64())],
                     names=["level", "bucket", "n"])
 
     full = map_batches(rows, count, "level int, bucket long, n long").groupBy("level", "bucket").agg(F.sum("n").alias("n"))
-    fits = np.ones((len(lengths), buckets), dtype=bool)
+    fits = np.ones((levels, buckets), dtype=bool)
     over = full.filter(F.col("n") > most).select("level", "bucket").toArrow()  # a bounded number of counters
     fits[over.column("level").to_numpy(), over.column("bucket").to_numpy()] = False
-    return fits, len(lengths)
+    return fits
 
 
 def _spaced(texts: pa.Array, words) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -235,55 +242,61 @@ def _suffixes(rows: DataFrame, pick, fits, window: int, every: bool) -> DataFram
     """Candidate suffixes with their group, and per document the starts of windows it has twice.
 
     A suffix's group is its level and bucket in one number; a negative one is a full bucket of whole
-    windows. ``words`` are those of the window, with one blank between them. With ``every``, windows
-    that a document has twice are suffixes like others, and ``before`` is the word before each.
+    windows. ``n`` suffixes of one group that follow one another are a row: ``start`` of the first, and
+    ``words`` of all their windows, with one blank between them. With ``every``, each suffix is a row,
+    windows that a document has twice are suffixes like others, and ``before`` is the word before each.
     """
-    lengths = [k for k in PREFIXES if k < window] + [window]
-    schema = "id long, sub int, part long, words binary, start int, before binary, again array<int>"
+    schema = "id long, sub int, part long, words binary, start int, n int, before binary, again array<int>"
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         candidates, small = pick(), fits.value
         ids, texts = batch.column(0).to_numpy(), batch.column(1)
-        for low, words, start, doc in candidates(batch):
+        for low, words, start, place, doc in candidates(batch):
             if not len(start):
                 continue
-            whole = candidates.prefix(words, start, window)
             part = np.full(len(start), -1, dtype=np.int64)
             open_ = np.ones(len(start), dtype=bool)
-            for level, k in enumerate(lengths):
-                bucket = (candidates.prefix(words, start, k) % _U(small.shape[1])).astype(np.int64)
+            for level, whole in enumerate(candidates.prefixes(words, start, place)):  # the last are whole windows
+                bucket = (whole % _U(small.shape[1])).astype(np.int64)
                 now = open_ & small[level][bucket]
-                part[now] = bucket[now] * len(lengths) + level
+                part[now] = bucket[now] * len(small) + level
                 open_ &= ~now
             spaced, begins, ends = _spaced(texts.slice(low, len(words.first) - 1), words)
-            own_words = [spaced[a:b] for a, b in zip(begins[start].tolist(), ends[start + window - 1].tolist())]
+            of = lambda first, last: spaced[begins[first] : ends[last + window - 1]]
             # Of equal windows in one document only the first goes on.
             order = np.lexsort((start, whole, doc))
             same = np.flatnonzero((whole[order][1:] == whole[order][:-1]) & (doc[order][1:] == doc[order][:-1]))
-            same = same[[own_words[order[i]] == own_words[order[i + 1]] for i in same.tolist()]] if len(same) else same
+            pairs = zip(start[order[same]].tolist(), start[order[same + 1]].tolist())
+            same = same[np.array([of(a, a) == of(b, b) for a, b in pairs], dtype=bool)]
             later = order[:0] if every else order[same + 1]
             first = np.ones(len(start), dtype=bool)
             first[later] = False
             subs = {int(d): _sub(_identity(texts[low + int(d)].as_buffer().to_pybytes().split())) for d in np.unique(doc)}
             sub = np.array([subs[d] for d in doc.tolist()], dtype=np.int32)
             begin = (start - words.first[doc]).astype(np.int32)
-            n = int(first.sum())
-            before = pa.nulls(n, pa.binary())
-            if every:
-                before = pa.array([spaced[a:b] if k else None for k, a, b in zip(
-                    begin.tolist(), begins[start - 1].tolist(), ends[start - 1].tolist())], pa.binary())
+            before = [spaced[a:b] if k else None for k, a, b in zip(
+                begin.tolist(), begins[start - 1].tolist(), ends[start - 1].tolist())] if every else []
+            own = np.flatnonzero(first)
+            follows = np.zeros(len(own), dtype=bool)
+            if not every and len(own):
+                a, b = own[:-1], own[1:]
+                follows[1:] = (start[b] == start[a] + 1) & (doc[b] == doc[a]) & (part[b] == part[a]) & (part[b] >= 0)
+            head = np.flatnonzero(~follows)
+            n = np.diff(np.append(head, len(own)))
+            head, tail = own[head], own[head + n - 1]
             yield pa.RecordBatch.from_arrays([
-                pa.array(ids[low + doc[first]]), pa.array(sub[first]), pa.array(part[first]),
-                pa.array([own_words[i] for i in np.flatnonzero(first).tolist()], pa.binary()),
-                pa.array(begin[first]), before, pa.nulls(n, pa.list_(pa.int32()))],
-                names=["id", "sub", "part", "words", "start", "before", "again"])
+                pa.array(ids[low + doc[head]]), pa.array(sub[head]), pa.array(part[head]),
+                pa.array([of(a, b) for a, b in zip(start[head].tolist(), start[tail].tolist())], pa.binary()),
+                pa.array(begin[head]), pa.array(n.astype(np.int32)),
+                pa.array(before, pa.binary()) if every else pa.nulls(len(head), pa.binary()), pa.nulls(len(head), pa.list_(pa.int32()))],
+                names=["id", "sub", "part", "words", "start", "n", "before", "again"])
             twice = np.unique(doc[later])
             if len(twice):
                 own = [np.sort(begin[later][doc[later] == d]).tolist() for d in twice]
-                none = [pa.nulls(len(twice), kind) for kind in (pa.int64(), pa.binary(), pa.int32(), pa.binary())]
+                none = [pa.nulls(len(twice), kind) for kind in (pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary())]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(ids[low + twice]), pa.array([subs[int(d)] for d in twice], pa.int32()), *none,
-                    pa.array(own, pa.list_(pa.int32()))], names=["id", "sub", "part", "words", "start", "before", "again"])
+                    pa.array(own, pa.list_(pa.int32()))], names=["id", "sub", "part", "words", "start", "n", "before", "again"])
 
     return map_batches(rows, run, schema)
 
@@ -341,7 +354,10 @@ def _subtree(window: int):
     """Suffixes of one group that are not the first below their node at window depth."""
 
     def run(suffixes: pd.DataFrame) -> pd.DataFrame:
-        rows = list(zip(suffixes["words"], suffixes["id"].tolist(), suffixes["start"].tolist(), suffixes["sub"].tolist()))
+        rows = []
+        for text, id_, start, sub, n in suffixes[["words", "id", "start", "sub", "n"]].itertuples(index=False, name=None):
+            words = text.split(b" ") if n > 1 else [text]
+            rows.extend((b" ".join(words[i : i + window]), id_, start + i, sub) for i in range(n))
         rows.sort(key=lambda row: row[0])
         leaves = ((words, [(id_, start, sub)]) for words, id_, start, sub in rows)
         later = []
@@ -374,7 +390,7 @@ def _spans(window: int):
 
 def _dealt(own: DataFrame, window: int, run: int, every: bool) -> tuple[DataFrame, DataFrame]:
     """Suffixes of the documents with their groups, and as spans the documents that are copies."""
-    spark = own.sparkSession
+    spark, run = own.sparkSession, min(run, window)
     marks = written(_marks(own).filter(F.col("n") >= window), "marks")
     firsts = marks.groupBy("sid").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first <> last")
     copies = marks.join(written(firsts, "copied"), "sid").filter("id > first")
@@ -398,7 +414,8 @@ def _dealt(own: DataFrame, window: int, run: int, every: bool) -> tuple[DataFram
             held.append(_Candidates(window, run, sent.value))
         return held[0]
 
-    fits, levels = _grouping(rows, pick, places * (window - run + 1) // 2, window)
+    levels = sum(k < run for k in PREFIXES) + 2
+    fits = _grouping(rows, pick, places * (window - run + 1) // 2, levels)
     suffixes = written(_suffixes(rows, pick, spark.sparkContext.broadcast(fits), window, every), "suffixes")
     return suffixes, whole
 
@@ -407,7 +424,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, run: int = RUN, text: str = "
     """Stretches of words that go: ``id`` (a null one as ``NO_ID``), ``sub``, which tells rows with
     one id apart, and ``spans`` of words, first and end."""
     suffixes, whole = _dealt(_picked(docs, text, doc_id), window, run, False)
-    in_groups = suffixes.filter("part >= 0").select("id", "sub", "part", "words", "start")
+    in_groups = suffixes.filter("part >= 0").select("id", "sub", "part", "words", "start", "n")
     trees = in_groups.groupBy("part").applyInPandas(_subtree(window), "id long, sub int, start int")
     full = suffixes.filter("part < 0").select("id", "sub", "words", "start")
     place = F.struct("id", "start")
