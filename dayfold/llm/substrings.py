@@ -39,7 +39,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import map_batches, small_side, written
+from .common import free_names, map_batches, small_side, written
 from .words import SPACED, Splitter, bytes_of, pieces
 
 WINDOW, RUN = 20, 8
@@ -55,6 +55,9 @@ BUCKETS = 1 << 20
 # list of them by a join.
 FILTER_BYTES = 64 << 20
 
+# What is told of each document.
+OUT = ("n_words", "n_removed", "kept")
+
 # Stands for a null id, so that it is the first in order.
 NO_ID = -(1 << 63)
 
@@ -540,9 +543,11 @@ def _kept(docs: DataFrame, spans: DataFrame, keep: list[str], window: int, text:
 
     schema = joined.select(*[f"k{i}" for i in range(len(keep))], F.lit(0).cast("long").alias("n_words"),
                            F.lit(0).cast("long").alias("n_removed"), F.col("text").alias("kept")).schema
-    return map_batches(joined, run, schema).select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "n_words", "n_removed", "kept")
+    own_names = [F.col(c).alias(n) for c, n in zip(OUT, free_names(docs.select(*[F.col(f"`{c}`") for c in keep]), *OUT))]
+    return map_batches(joined, run, schema).select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *own_names)
 
 
 def without_repeats(docs: DataFrame, keep: list[str], window: int = WINDOW, run: int = RUN, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``keep`` columns of each document with ``n_words``, ``n_removed`` and the ``kept`` words."""
+    """``keep`` columns of each document with ``n_words``, ``n_removed`` and the ``kept`` words; where a
+    column of ``keep`` has such a name, the new one gets ``_`` at its end."""
     return _kept(docs, repeats(docs, window, run, text, doc_id), keep, window, text, doc_id)

@@ -112,6 +112,9 @@ def test_empty_table_and_clashing_columns(spark):
     assert run(spark, []) == []
     df = spark.createDataFrame([(1, "a b c d", 3, "s")], SCHEMA + ", id int, spans string")
     assert substrings.without_repeats(df, ["doc_id", "id", "spans"], 4, 2).first()["id"] == 3
+    df = spark.createDataFrame([(1, "a b c d", "mine")], SCHEMA + ", kept string")
+    row = substrings.without_repeats(df, ["doc_id", "kept"], 4, 2).first()
+    assert (row["kept"], row["kept_"], row["n_words"]) == ("mine", "a b c d", 4)
 
 
 def test_query_on_the_smallest_tables(spark):
