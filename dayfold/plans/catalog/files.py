@@ -12,8 +12,9 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from ...model import COMMENT_KEY, DAY, KINDS
+from ...operators.quality import in_range
 from ...session import work_path
-from ...sources import archives, drops
+from ...sources import archives, drops, tar_members
 from ...sources.drops import open_file
 from ...sources.results import append_batch, append_day, read_batches, read_table
 from ..ingest import ingest
@@ -119,6 +120,42 @@ def ingest_rejects(spark, sf):
     return rejects.unionByName(rest).unionByName(kept)
 
 
+@query(f"""
+WITH {EVENTS_SQL},
+e AS (SELECT *, event_id % 11 AS n, CASE WHEN {sql_types(*DROP_TYPES["metadata"])} THEN 'metadata' ELSE 'comments' END AS kind FROM ev),
+k AS (SELECT * FROM e WHERE n > 2
+  QUALIFY row_number() OVER (PARTITION BY kind, meta_id, year, month, date ORDER BY ts DESC, event_id DESC) = 1),
+s AS (SELECT kind, count(*) AS rows_scanned, count_if(n = 0) AS undated, count_if(n = 1) AS null_keys, count_if(n = 2) AS misfits
+  FROM e GROUP BY kind),
+a AS (SELECT kind, count(*) AS rows_after, count_if(event_id % 1000 > 900) AS broken FROM k GROUP BY kind)
+SELECT kind, rows_scanned, undated, null_keys, misfits, rows_scanned - undated - null_keys - misfits AS rows_before, rows_after,
+  rows_scanned - undated - null_keys - misfits - rows_after AS rows_removed, broken
+FROM s JOIN a USING (kind)""")
+def load_report(spark, sf):
+    """All events as metadata and comment drops; what the load says about its rows as it stores them."""
+    root, tables = work_path(spark, "drops"), work_path(spark, "tables")
+    number = F.col("event_id") % 11
+    rows = derived.keyed_events(spark, sf).select(
+        F.when(F.col("event_type").isin(*DROP_TYPES["metadata"]), "metadata").otherwise("comments").alias("kind"), "ts", "event_id",
+        F.when(number == 0, "sometime").otherwise(F.date_format("ts", "yyyy-MM-dd_00_00")).alias("slot"),
+        *[F.when(number != 1, F.col("meta_id")).alias(f"{kind}__meta_id") for kind in ("metadata", "comments")],
+        F.lit("c").alias("comments__cid"),
+        *[F.when(number == 2, "many").otherwise((F.col("event_id") % 1000).cast("string")).alias(c)
+          for c in ("metadata__stats_playcount", "comments__digg_count")],
+    )
+    derived.write_drops(rows.repartitionByRange("ts", "event_id").sortWithinPartitions("ts", "event_id"), root)
+    outcome = ingest(spark, root, tables, NOW, kinds=["metadata", "comments"], rules={
+        "metadata": [in_range("stats_playcount", 0, 900)], "comments": [in_range("digg_count", 0, 900)]})
+    failed = {k: o["error"] for k, o in outcome.items() if o["error"]}
+    if failed:
+        raise RuntimeError(f"ingest failed: {failed}")
+    counts = ("rows_scanned", "rows_before", "rows_after", "rows_removed")
+    return spark.createDataFrame(
+        [(kind, *[o["report"][c] for c in counts], *o["report"]["refused"].values(), *o["report"]["broken"].values())
+         for kind, o in outcome.items()],
+        f"kind string, {', '.join(f'{c} long' for c in (*counts, *drops.REFUSED, 'broken'))}")
+
+
 @query("""
 SELECT event_id, value FROM events
 WHERE CAST(ts AS DATE) = (SELECT CAST(max(ts) AS DATE) FROM events)""")
@@ -227,21 +264,35 @@ def write_archives(df, root: str) -> None:
     df.mapInPandas(run, "rows long").agg(F.sum("rows")).collect()
 
 
-@query("""
-SELECT 'c' || conv_id || '/' || turn || '.mp3' AS member, octet_length(encode(text)) AS size, md5(text) AS md5
-FROM conversations WHERE role = 'user'""")
-def archive_members(spark, sf):
-    """Conversation turns written into archives; only members ending in .mp3 come back."""
+def _turn_archives(spark, sf) -> str:
+    """A folder of archives with a member per conversation turn, its ending told by the role."""
     root = work_path(spark, "archives")
     suffix = F.when(F.col("role") == "user", ".mp3").when(F.col("role") == "assistant", ".MP3").otherwise(".txt")
     rows = table(spark, sf, "conversations").select(
         F.concat(F.format_string("c%d/%d", "conv_id", "turn"), suffix).alias("name"), "text"
     )
     write_archives(rows, root)
+    return root
+
+
+@query("""
+SELECT 'c' || conv_id || '/' || turn || '.mp3' AS member, octet_length(encode(text)) AS size, md5(text) AS md5
+FROM conversations WHERE role = 'user'""")
+def archive_members(spark, sf):
+    """Conversation turns written into archives; only members ending in .mp3 come back."""
+    root = _turn_archives(spark, sf)
     members, _ = archives.explode_archives(archives.scan_archives(spark, root), ".mp3", content=True)
     return members.select("member", "size", F.md5("content").alias("md5"))
 
 
+@query(SQL["archive_members"])
+def tar_source(spark, sf):
+    """The same members by the data source, the condition on their names pushed down to it."""
+    tar_members.register(spark)
+    members = spark.read.format("tar_members").option("content", "true").load(_turn_archives(spark, sf))
+    return members.filter(F.col("member").endswith(".mp3")).select("member", "size", F.md5("content").alias("md5"))
+
+
 @query(f"""
 WITH {EVENTS_SQL},
 n AS (SELECT strftime(ts, '0_%Y-%m-%d_%H_%M') || '_' || event_id || '.tar.xz' AS name FROM ev WHERE {sql_types('view', 'purchase')}

@@ -19,7 +19,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..functions import common_type, file_day, file_month, file_year, flag, has_file_date
 from ..functions.text import whole_number
@@ -340,15 +340,20 @@ def canonical(df: DataFrame, kind: Kind) -> DataFrame:
     return df.select(*out)
 
 
+# Counts of refused rows by the start of their reason.
+REFUSED = {"undated": "undated", "misfits": "does not fit", "null_keys": "null key"}
 REJECTS = "reason string, source_path string, row_index long, rows long, detail string"
 
 
-def sort_out(scanned: DataFrame, kind: Kind, allow_null_key: bool = False) -> tuple[DataFrame, DataFrame]:
+def sort_out(
+    scanned: DataFrame, kind: Kind, allow_null_key: bool = False, seen: Observation | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Rows that can be stored, with their date, and those that cannot, with the reason.
 
     A row is refused if its file has no date in its name, if a key column is null, or if a value
     does not fit its column; ``detail`` then has the whole row. Rows are sorted out before those
-    with equal keys are, so none disappears among its likes.
+    with equal keys are, so none disappears among its likes. ``seen`` is told how many rows there
+    were and how many were refused for what, when the refused ones are written.
     """
     keys = [c for c in kind.key if c not in DAY]  # the day is that of the file
     named = {b: a for a, b in kind.renames.items()}
@@ -364,7 +369,10 @@ def sort_out(scanned: DataFrame, kind: Kind, allow_null_key: bool = False) -> tu
     marked = rows.withColumn("__reason", reason)
     fine = with_file_date(marked.filter(F.col("__reason").isNull()).drop("__reason", MISFITS.name))
     content = F.to_json(F.struct(*[c for c in scanned.columns if c not in [f.name for f in (*LOCATION, MISFITS)]]))
-    refused = marked.filter(F.col("__reason").isNotNull()).select(
+    told = marked if seen is None else marked.observe(
+        seen, F.count(F.lit(1)).alias("scanned"),
+        *[F.count_if(F.col("__reason").startswith(start)).alias(name) for name, start in REFUSED.items()])
+    refused = told.filter(F.col("__reason").isNotNull()).select(
         F.col("__reason").alias("reason"), "source_path", "row_index", F.lit(1).cast("long").alias("rows"),
         content.alias("detail"),
     )

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dayfold.model import KINDS
+from dayfold.operators.quality import in_range, not_null
 from dayfold.plans import classify, media
 from dayfold.plans.ingest import ingest
 from dayfold.sources import archives
@@ -93,6 +94,26 @@ def test_no_row_is_lost_on_the_way(spark, folder):
         assert rows(stored(spark, f"{folder}/{path}"), "meta_id", "stats_playcount") == [("a", 1)]
 
 
+def test_report_of_a_load(spark, folder):
+    root = f"{folder}/in"
+    drop(root, "2025-01-01_00_00", "metadata", meta_id=["a", None, "b", "a"], stats_playcount=["1", "2", "-3", "x"])
+    drop(root, "2025-01-01_00_10", "metadata", meta_id=["a", "c"], stats_playcount=["5", None])
+    pd.DataFrame({"meta_id": ["u", "v"]}).to_parquet(f"{root}/undated_metadata.parquet")
+    with open(f"{root}/0_2025-01-01_00_20_metadata.parquet", "wb") as f:
+        f.write(b"broken")
+    rules = {"metadata": [in_range("stats_playcount", 0), not_null("stats_playcount")]}
+    out = ingest(spark, root, f"{folder}/tables", T0, rules=rules)
+    assert out["metadata"]["report"] == {
+        "rows_scanned": 8, "rows_refused": 4, "refused": {"undated": 2, "misfits": 1, "null_keys": 1},
+        "files_unreadable": 1, "rows_before": 4, "rows_after": 3, "rows_removed": 1,
+        "broken": {"stats_playcount in range": 1, "stats_playcount not null": 1}}
+    none = dict.fromkeys(("rows_scanned", "rows_refused", "files_unreadable", "rows_before", "rows_after", "rows_removed"), 0)
+    for kind in ("comments", "subtitles"):  # no files
+        assert out[kind]["report"] == {**none, "refused": {"undated": 0, "misfits": 0, "null_keys": 0}, "broken": {}}
+    again = ingest(spark, root, f"{folder}/tables", T1, kinds=["metadata"])["metadata"]["report"]
+    assert (again["rows_before"], again["rows_after"], again["broken"]) == (4, 3, {})
+
+
 @pytest.mark.parametrize("per_batch", [1, 5000])
 def test_stream_does_not_depend_on_the_order_of_arrival(spark, folder, per_batch):
     root, table, state = f"{folder}/in", f"{folder}/table", f"{folder}/state"
