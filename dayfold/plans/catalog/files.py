@@ -16,7 +16,7 @@ from ...operators.quality import in_range
 from ...session import work_path
 from ...sources import archives, drops, tar_members
 from ...sources.drops import open_file
-from ...sources.results import append_batch, append_day, read_batches, read_table
+from ...sources.results import append_batch, append_day, read_batches, read_table, replace_days, rows_of_days
 from ..ingest import ingest
 from . import derived
 from .derived import DROP_TYPES, EVENTS_SQL, sql_day, sql_types
@@ -243,6 +243,18 @@ def append_days_twice(spark, sf):
     )
 
 
+@query(f"""
+WITH {EVENTS_SQL}, m AS (SELECT event_id, meta_id, year, month, date FROM ({derived.sql_kept(*derived.METADATA)}))
+SELECT * FROM m WHERE (year, month, date) IN (SELECT (year, month, date) FROM ev WHERE user_id % 50 = 7 AND event_type = 'error')""")
+def stored_days(spark, sf):
+    """Rows of a stored table on the days of other rows, which prune its partitions as the query runs."""
+    path = work_path(spark, "stored")
+    rows = derived.kept_events(spark, sf, *derived.METADATA).select("event_id", "meta_id", *DAY)
+    replace_days(rows, path)
+    wanted = derived.keyed_events(spark, sf, "error").filter("user_id % 50 = 7")
+    return rows_of_days(spark, path, rows.schema, wanted)
+
+
 def write_archives(df, root: str) -> None:
     """Write rows ``name, text`` as tar.xz archives from within tasks, one per Arrow batch."""
 

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ...functions import sql as sql_functions
 from ...model import DAY
 from ...operators import enrich, reports
 from ...operators.keyed import keep_first
 from ...operators.queue import day_outcome
 from . import derived
 from .derived import EVENTS_SQL, MEDIA_SQL, QUEUE_ROWS_SQL, sql_day_text, sql_stamp, stamp
-from .registry import query, table
+from .registry import SQL, query, table
 
 
 @query(f"""
@@ -118,6 +119,18 @@ def master_progress(spark, sf):
     ))
 
 
+@query(SQL["master_progress"])
+def progress_sql(spark, sf):
+    """The same sums by the table function that SQL text can call."""
+    table(spark, sf, "lineitem").selectExpr(
+        "l_orderkey AS master_job_id", "CAST(l_quantity AS INT) AS files_processed", "l_linenumber AS files_failed",
+    ).createOrReplaceTempView(sql_functions.TRACKING)
+    sql_functions.register_progress(spark)
+    return spark.sql(
+        f"SELECT m AS master_job_id, p.* FROM (SELECT DISTINCT master_job_id AS m FROM {sql_functions.TRACKING}), "
+        "LATERAL parallel_progress(m) p")
+
+
 _OUTCOMES = """
 o AS (SELECT l_orderkey AS archive, count(*) AS total, count(*) FILTER (WHERE l_returnflag <> 'R') AS succeeded,
   count(*) FILTER (WHERE l_returnflag = 'R') AS failed FROM lineitem GROUP BY 1)"""

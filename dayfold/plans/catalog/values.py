@@ -9,6 +9,7 @@ from ...functions import (
     folder_name, has_file_date, is_day_text, nonblank, parse_folder, slot_of_archive, softmax,
     storage_path,
 )
+from ...functions import sql as sql_functions
 from ...model import ARCHIVES_PER_TASK, KINDS
 from ...operators.ranking import with_chunks
 from ...sources.drops import prepare
@@ -76,6 +77,16 @@ def folder_names(spark, sf):
     return counted.select("folder", "n", F.inline(F.array(parse_folder("folder"))))
 
 
+@query("""
+SELECT 'zurich_' || year(o_orderdate) || '_' || lower(monthname(o_orderdate)) AS folder, count(*) AS n FROM orders GROUP BY 1""")
+def folder_names_sql(spark, sf):
+    """Folder names by the function that SQL text can call."""
+    sql_functions.register_folder_name(spark)
+    return spark.sql(
+        "SELECT get_folder_name(year(o_orderdate), month(o_orderdate), 'zurich') AS folder, count(*) AS n FROM {orders} GROUP BY 1",
+        orders=table(spark, sf, "orders"))
+
+
 _FLAGS = """
 SELECT d.doc_id, coalesce(l.quality, 0) <> 0 AS quality,
   CASE WHEN d.doc_id % 5 = 0 THEN false WHEN d.doc_id % 7 = 0 THEN true ELSE coalesce(l.toxic, 0) <> 0 END AS toxic

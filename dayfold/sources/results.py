@@ -128,6 +128,19 @@ def read_days(
     return None if part.isEmpty() else part
 
 
+def rows_of_days(
+    spark: SparkSession, path: str, schema: T.StructType, rows: DataFrame, days: Sequence[str] = DAY
+) -> DataFrame:
+    """The rows of a day-partitioned table on the days that occur in other rows.
+
+    The days are found while the query runs and prune the partitions then; the driver does not see
+    them. There are no more of them than the calendar has, so they are broadcast. Comparing the
+    year lets Spark take the list for one worth pruning by; rows without a whole day match nothing.
+    """
+    wanted = rows.select(*days).dropna().filter(F.col(days[0]) > 0).distinct()
+    return read_table(spark, path, schema).join(F.broadcast(wanted), list(days), "left_semi").select(*schema.fieldNames())
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,

@@ -1,4 +1,5 @@
 import datetime as dt
+import glob
 
 import pytest
 from pyspark.sql import types as T
@@ -96,3 +97,19 @@ def test_empty_batch(spark, frame, folder):
 
 def test_missing_table_is_empty(spark, folder):
     assert results.read_table(spark, f"{folder}/none", SCHEMA).schema.names == SCHEMA.names
+
+
+def test_days_are_pruned_as_the_query_runs(spark, frame, folder):
+    path = f"{folder}/table"
+    schema = "meta_id string, year int, month int, date int"
+    table = frame([(f"m{d}{i}", 2025, 1, d) for d in range(1, 11) for i in range(3)], schema)
+    results.replace_days(table, path)
+    for file in glob.glob(f"{path}/year=2025/month=1/date=5/*.parquet"):  # a day that must not be read
+        with open(file, "wb") as out:
+            out.write(b"broken")
+    frame([("x", 2025, 1, 3), ("y", 2025, 1, 3), ("z", None, 1, 4), ("w", 2030, 1, 4)], schema).write.parquet(f"{folder}/wanted")
+    found = results.rows_of_days(spark, path, table.schema, spark.read.parquet(f"{folder}/wanted"))
+    assert rows(found, "meta_id", "date") == [(f"m3{i}", 3) for i in range(3)]
+    assert "dynamicpruning" in found._jdf.queryExecution().toString().lower()
+    empty = results.rows_of_days(spark, f"{folder}/none", table.schema, table)
+    assert empty.count() == 0 and empty.columns == table.columns
