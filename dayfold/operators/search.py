@@ -1,4 +1,4 @@
-"""Text search: token postings, and documents that hold all or any of some words.
+"""Text search: token postings, and documents that hold all or any of some words, or a phrase.
 
 A posting is a row (token, document, times), never a list of documents, so a word that is in a
 third of all texts is spread over as many tasks and files as it needs. Words are lower case and
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import split_words
 from ..model import STOP_WORDS
@@ -63,3 +63,57 @@ def search_all(index: DataFrame, query: str) -> DataFrame:
 def search_any(index: DataFrame, query: str) -> DataFrame:
     """Documents that hold at least one word of the query."""
     return _hits(index, query_words(index.sparkSession, query))
+
+
+# Places of a token in a document are kept in pieces of the text of so many words.
+PIECE_WORDS = 4096
+
+
+def positions(df: DataFrame, doc: str, text: str) -> DataFrame:
+    """Places of each token in each document, in rows (token, document, piece, places).
+
+    Words are counted from 0, stop words too, so distances are those of the text. A row has the
+    places within one piece of the text, so no list grows with the text. Null texts have no words.
+    """
+    words = F.filter(split_words(text), lambda word: word != "")
+    places = df.select(F.col(doc).alias("doc"), F.posexplode(words).alias("place", "token"))
+    kept = places.filter(~F.col("token").isin(STOP_WORDS)).withColumn("piece", F.floor(F.col("place") / PIECE_WORDS))
+    return kept.groupBy("token", "doc", "piece").agg(F.sort_array(F.collect_list("place")).alias("places"))
+
+
+def _places(index: DataFrame, tokens: Sequence[str]) -> DataFrame:
+    return index.filter(F.col("token").isin(list(tokens))).select("token", "doc", F.explode("places").alias("place"))
+
+
+def search_phrase(index: DataFrame, phrase: str) -> DataFrame:
+    """Documents that hold the words of a phrase in its order, and how often.
+
+    A stop word of the phrase stands for any word. Every place of a word of the phrase says where
+    the phrase would start; where all its words say so, it does. A phrase without any other words
+    is in no document. ``index`` is what ``positions`` gives.
+    """
+    cut = index.sparkSession.range(1).select(F.filter(split_words(F.lit(phrase)), lambda word: word != "").alias("w"))
+    offsets: dict[str, list[int]] = {}
+    for offset, word in enumerate(cut.first()["w"]):
+        if word not in STOP_WORDS:
+            offsets.setdefault(word, []).append(offset)
+    wanted = sum(map(len, offsets.values()))
+    at = F.lit(None).cast("array<int>")
+    for word, places in offsets.items():
+        at = F.when(F.col("token") == word, F.array(*map(F.lit, places))).otherwise(at)
+    starts = _places(index, list(offsets)).select("doc", "place", F.explode(at).alias("offset")).select(
+        "doc", (F.col("place") - F.col("offset")).alias("start"))
+    whole = starts.groupBy("doc", "start").agg(F.count("*").alias("n")).filter(F.col("n") == wanted)
+    return whole.groupBy("doc").agg(F.count("*").alias("times"))
+
+
+def search_near(index: DataFrame, query: str, within: int) -> DataFrame:
+    """Documents that hold every word of a query within so many words, and where they first do.
+
+    ``start`` is the first place from which ``within`` words of the text hold them all. Stop words
+    of the query do not count. ``index`` is what ``positions`` gives.
+    """
+    wanted = query_words(index.sparkSession, query)
+    ahead = Window.partitionBy("doc").orderBy("place").rangeBetween(0, within - 1)
+    found = _places(index, wanted).withColumn("near", F.size(F.collect_set("token").over(ahead)))
+    return found.filter(F.col("near") == len(wanted)).groupBy("doc").agg(F.min("place").alias("start"))

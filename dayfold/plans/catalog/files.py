@@ -125,9 +125,10 @@ WITH {EVENTS_SQL},
 e AS (SELECT *, event_id % 11 AS n, CASE WHEN {sql_types(*DROP_TYPES["metadata"])} THEN 'metadata' ELSE 'comments' END AS kind FROM ev),
 k AS (SELECT * FROM e WHERE n > 2
   QUALIFY row_number() OVER (PARTITION BY kind, meta_id, year, month, date ORDER BY ts DESC, event_id DESC) = 1),
-s AS (SELECT kind, count(*) AS rows_scanned, count_if(n = 0) AS undated, count_if(n = 1) AS null_keys, count_if(n = 2) AS misfits
+s AS (SELECT kind, count(*) AS rows_scanned, count(*) FILTER (WHERE n = 0) AS undated,
+    count(*) FILTER (WHERE n = 1) AS null_keys, count(*) FILTER (WHERE n = 2) AS misfits
   FROM e GROUP BY kind),
-a AS (SELECT kind, count(*) AS rows_after, count_if(event_id % 1000 > 900) AS broken FROM k GROUP BY kind)
+a AS (SELECT kind, count(*) AS rows_after, count(*) FILTER (WHERE event_id % 1000 > 900) AS broken FROM k GROUP BY kind)
 SELECT kind, rows_scanned, undated, null_keys, misfits, rows_scanned - undated - null_keys - misfits AS rows_before, rows_after,
   rows_scanned - undated - null_keys - misfits - rows_after AS rows_removed, broken
 FROM s JOIN a USING (kind)""")

@@ -45,6 +45,31 @@ def search_any(spark, sf):
     return ops.search_any(index, SOUGHT)
 
 
+PHRASE, NEAR, WITHIN = "Attion to thanedble the anea", "anea and attion", 6
+_PLACES = """
+WITH l AS (SELECT doc_id AS doc, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{M}\\p{N}_]+'), lambda x: x <> '') AS words
+  FROM documents),
+w AS (SELECT doc, unnest(words) AS token, unnest(range(len(words))) AS place FROM l)"""
+
+
+@query(f"""{_PLACES}
+SELECT a.doc, count(*) AS times FROM w a JOIN w b ON b.doc = a.doc AND b.place = a.place + 2 AND b.token = 'thanedble'
+JOIN w c ON c.doc = a.doc AND c.place = a.place + 4 AND c.token = 'anea' WHERE a.token = 'attion' GROUP BY a.doc""")
+def search_phrase(spark, sf):
+    """A phrase with stop words in it, sought in a written index of places."""
+    path = work_path(spark, "places")
+    ops.write_postings(ops.positions(table(spark, sf, "documents"), "doc_id", "text"), path)
+    return ops.search_phrase(ops.load_postings(spark, path), PHRASE)
+
+
+@query(f"""{_PLACES},
+n AS (SELECT doc, place, count(DISTINCT token) OVER (PARTITION BY doc ORDER BY place RANGE BETWEEN CURRENT ROW AND {WITHIN - 1} FOLLOWING) AS near
+  FROM w WHERE token IN ('anea', 'attion'))
+SELECT doc, CAST(min(place) AS INTEGER) AS start FROM n WHERE near = 2 GROUP BY doc""")
+def search_near(spark, sf):
+    return ops.search_near(ops.positions(table(spark, sf, "documents"), "doc_id", "text"), NEAR, WITHIN)
+
+
 # Words in other scripts and with combining marks, put before every third document's text.
 _FOREIGN = ["नमस्ते", "cafe\u0301", "мир", "Straße"]
 _FOREIGN_SQL = f"""

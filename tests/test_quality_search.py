@@ -48,3 +48,19 @@ def test_search(spark, frame, folder):
     assert rows(search.search_any(stored, "cat dog")) == [(1, 1, 2), (2, 2, 2), (3, 1, 1)]
     assert search.search_all(stored, "the").isEmpty()
     assert "PushedFilters: [In(token" in search.search_any(stored, "cat dog")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_phrases_and_near_words(frame, monkeypatch):
+    monkeypatch.setattr(search, "PIECE_WORDS", 2)
+    docs = frame([
+        (1, "Cat, dog! The cat dog cat"), (2, "dog cat"), (3, "cat of dog"), (4, None), (5, ""), (6, "cat cat cat"), (7, "cat bird bird bird dog"),
+    ], "doc_id long, text string")
+    index = search.positions(docs, "doc_id", "text")
+    assert rows(index.filter("doc = 6"), "piece", "places") == [(0, [0, 1]), (1, [2])]
+    assert rows(search.search_phrase(index, "cat dog")) == [(1, 2)]
+    assert rows(search.search_phrase(index, "CAT the dog")) == [(3, 1)]
+    assert rows(search.search_phrase(index, "cat, cat")) == [(6, 2)]
+    assert rows(search.search_phrase(index, "the")) == rows(search.search_phrase(index, "")) == []
+    assert rows(search.search_near(index, "dog cat", 2)) == [(1, 0), (2, 0)]
+    assert rows(search.search_near(index, "dog and cat", 5)) == [(1, 0), (2, 0), (3, 0), (7, 0)]
+    assert rows(search.search_near(index, "fish cat", 9)) == rows(search.search_near(index, "the", 9)) == []
