@@ -21,7 +21,7 @@ MakeScorer = Callable[[], Scorer]
 
 SCORES = "__scores"
 
-# Rows that one task scores at most, if rows are spread, and rows after which results are saved.
+# Rows that one task scores at most, if rows are spread or saved, and rows after which results are saved.
 ROWS_PER_TASK = 20_000
 ROWS_PER_SAVE = 1_000_000
 
@@ -141,16 +141,19 @@ def score_resumable(
     rows_per_save: int = ROWS_PER_SAVE,
     **options,
 ) -> tuple[DataFrame, DataFrame]:
-    """Score rows that have no result under ``path`` yet, saving after about ``rows_per_save`` rows.
+    """Score rows that have no result under ``path`` yet, each task saving at most about ``rows_per_save``.
 
     ``key`` names rows for good, such as file name and row number. What is left to do is written
-    once, cut by a hash of the key into as many slices as there are amounts to save; each slice is
-    then a job of its own whose results are appended when it ends. A run that stops loses one
-    slice, and the next run skips whatever is saved. Failed rows are saved apart and tried again by
-    the next run; of several errors of a row the last one is returned.
+    once and dealt by a hash of the key, or of the columns of ``spread_by``, to as many tasks as
+    there are amounts to save; one job scores them all. A task's results are in place as soon as it
+    ends (version 2 of the file committer), so a run that stops loses the tasks under way, and the
+    next run skips whatever is saved. A task that is tried again replaces its own files. Failed rows
+    are saved apart and tried again by the next run; of several errors of a row the last one is
+    returned.
     """
     spark = df.sparkSession
     keys = list(key)
+    spread = list(options.pop("spread_by", ()))
     todo = df.filter(nonblank(text))
     if exists(spark, path):
         done = _saved(spark, path, df.schema).filter(F.col("status") == "ok")
@@ -158,20 +161,15 @@ def score_resumable(
     staged = work_path(spark, "to-score")
     todo.write.parquet(staged)
     rows = spark.read.schema(df.schema).parquet(staged)
-    slices = max(1, -(-rows.count() // rows_per_save))
-    cut = F.pmod(F.xxhash64(*keys), F.lit(slices)).cast("int")
-    sliced = work_path(spark, "to-score")
-    rows.withColumn("__slice", cut).write.partitionBy("__slice").parquet(sliced)
+    count = rows.count()
+    tasks = max(1, -(-count // min(rows_per_save, ROWS_PER_TASK)))
+    if spread:
+        tasks = max(tasks, scoring_tasks(spark, count))
+    scored = score(rows.repartition(tasks, *(spread or keys)), text, make_scorer, **options)
+    status = F.when(F.col("error").isNull(), "ok").otherwise("failed")
+    scored.withColumns({"saved_at": F.current_timestamp(), "status": status}).write.mode("append").option(
+        "mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("status").parquet(path)
     remove(spark, staged)
-    schema = T.StructType([*df.schema.fields, T.StructField("__slice", T.IntegerType())])
-    parts = spark.read.schema(schema).parquet(sliced)
-    for number in range(slices):
-        part = parts.filter(F.col("__slice") == number).drop("__slice")
-        scored = score(part, text, make_scorer, **options)
-        status = F.when(F.col("error").isNull(), "ok").otherwise("failed")
-        scored.withColumns({"saved_at": F.current_timestamp(), "status": status}).write.mode("append").partitionBy(
-            "status").parquet(path)
-    remove(spark, sliced)
     saved, failed = load_scored(spark, path, df.schema)
     # A row that failed once and then got a result is no failure.
     return saved, pending(keep_last(failed, keys, ["saved_at", "error"]).drop("saved_at"), saved, keys)

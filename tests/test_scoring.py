@@ -2,6 +2,7 @@ import sys
 
 import pytest
 from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
 from dayfold.operators import scoring
 from conftest import rows
@@ -77,6 +78,49 @@ def test_resume_with_nothing_to_do(frame, folder):
     assert done.isEmpty() and failed.isEmpty() and "prob_1" in done.columns
 
 
+def test_all_amounts_are_saved_by_one_job(spark, frame, folder):
+    """However many amounts there are to save, the number of Spark jobs is the same."""
+    jobs, context = [], spark.sparkContext
+    for amount in (50, 1):
+        context.setJobGroup(f"save {amount}", "")
+        try:
+            done, _ = scoring.score_resumable(
+                frame([(i, "a") for i in range(40)], "i int, t string"), "t", make_scorer, ["i"], f"{folder}/{amount}",
+                rows_per_save=amount)
+        finally:
+            context.setLocalProperty("spark.jobGroup.id", None)
+        jobs.append(len(context.statusTracker().getJobIdsForGroup(f"save {amount}")))
+        files = done.select(F.input_file_name()).distinct().count()
+        assert done.count() == 40 and (files == 1 if amount == 50 else files > 10)
+    assert jobs[0] == jobs[1] > 0
+
+
+def make_stopping():
+    """A scorer whose process ends at one text, once other tasks have had their time."""
+    import time
+
+    def score(texts):
+        if "stop" in texts:
+            time.sleep(4)
+            raise SystemExit(1)
+        return [("1", 0.0, 1.0)] * len(texts)
+
+    return score
+
+
+def test_a_stopped_run_keeps_what_its_tasks_saved(spark, frame, folder):
+    df, path = frame([(i, "stop" if i == 20 else "a") for i in range(40)], "i int, t string"), f"{folder}/out"
+    with pytest.raises(Exception, match="(?i)worker|exit"):
+        scoring.score_resumable(df, "t", make_stopping, ["i"], path, rows_per_save=1)
+    saved, _ = scoring.load_scored(spark, path, df.schema)
+    ids = [i for i, in rows(saved, "i")]
+    assert len(ids) == len(set(ids)) >= 4 and 20 not in ids
+    done, failed = scoring.score_resumable(df, "t", make_scorer, ["i"], path, rows_per_save=1)
+    assert sorted(i for i, in rows(done, "i")) == [*range(40)] and failed.isEmpty()
+    kept = dict(rows(done, "i", "prob_1"))
+    assert {kept[i] for i in ids} == {1.0} and kept[20] != 1.0
+
+
 def test_template_file(folder):
     with pytest.raises(FileNotFoundError):
         scoring.load_template(f"{folder}/none")
