@@ -15,24 +15,36 @@ from ..functions import split_words
 from ..model import STOP_WORDS
 
 
-def postings(df: DataFrame, doc: str, text: str) -> DataFrame:
-    """Times that each document holds each token.
+def _dealt(df: DataFrame, keys: Sequence[str], ranged: bool) -> DataFrame:
+    """Rows dealt by the keys they are grouped by next, to all partitions of the session.
 
-    Counts are combined before the shuffle, which goes by token and document, so common words
-    are spread over all tasks.
+    Most words come once or twice in a document. Groups made before the shuffle would be nearly as
+    many as the words of a task's whole input, and be spilled; adaptive execution would make too few
+    and too large ones of the partitions after it.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(parts, "token", "doc") if ranged else df.repartition(parts, *keys)
+
+
+def postings(df: DataFrame, doc: str, text: str, ranged: bool = False) -> DataFrame:
+    """Times that each document holds each token; common words are spread over all tasks.
+
+    ``ranged`` deals words by ranges of (token, document), for ``write_postings``, which then has
+    nothing left to deal; the ranges are cut by a sample, so the texts are read twice.
     """
     tokens = df.select(F.col(doc).alias("doc"), F.explode(split_words(text)).alias("token"))
     kept = tokens.filter((F.col("token") != "") & ~F.col("token").isin(STOP_WORDS))
-    return kept.groupBy("token", "doc").agg(F.count("*").alias("times"))
+    return _dealt(kept, ["token", "doc"], ranged).groupBy("token", "doc").agg(F.count("*").alias("times"))
 
 
-def write_postings(df: DataFrame, path: str) -> None:
+def write_postings(df: DataFrame, path: str, ranged: bool = False) -> None:
     """Write postings sorted by token over ranges of equal size.
 
     Ranges are cut by (token, document): a common word spans many files, and the token bounds in
-    each file's footer let a search skip the others.
+    each file's footer let a search skip the others. ``ranged`` says that ``df`` was made so.
     """
-    df.repartitionByRange("token", "doc").sortWithinPartitions("token", "doc").write.parquet(path)
+    dealt = df if ranged else df.repartitionByRange("token", "doc")
+    dealt.sortWithinPartitions("token", "doc").write.parquet(path)
 
 
 def load_postings(spark: SparkSession, path: str) -> DataFrame:
@@ -69,16 +81,17 @@ def search_any(index: DataFrame, query: str) -> DataFrame:
 PIECE_WORDS = 4096
 
 
-def positions(df: DataFrame, doc: str, text: str) -> DataFrame:
+def positions(df: DataFrame, doc: str, text: str, ranged: bool = False) -> DataFrame:
     """Places of each token in each document, in rows (token, document, piece, places).
 
     Words are counted from 0, stop words too, so distances are those of the text. A row has the
     places within one piece of the text, so no list grows with the text. Null texts have no words.
+    ``ranged`` is that of ``postings``.
     """
     words = F.filter(split_words(text), lambda word: word != "")
     places = df.select(F.col(doc).alias("doc"), F.posexplode(words).alias("place", "token"))
     kept = places.filter(~F.col("token").isin(STOP_WORDS)).withColumn("piece", F.floor(F.col("place") / PIECE_WORDS))
-    return kept.groupBy("token", "doc", "piece").agg(F.sort_array(F.collect_list("place")).alias("places"))
+    return _dealt(kept, ["token", "doc", "piece"], ranged).groupBy("token", "doc", "piece").agg(F.sort_array(F.collect_list("place")).alias("places"))
 
 
 def _places(index: DataFrame, tokens: Sequence[str]) -> DataFrame:

@@ -35,7 +35,7 @@ _HITS = "SELECT doc, count(*) AS matched, CAST(sum(times) AS BIGINT) AS times FR
 def search_all(spark, sf):
     """Search in a written index."""
     path = work_path(spark, "postings")
-    ops.write_postings(ops.postings(table(spark, sf, "documents"), "doc_id", "text"), path)
+    ops.write_postings(ops.postings(table(spark, sf, "documents"), "doc_id", "text", ranged=True), path, ranged=True)
     return ops.search_all(ops.load_postings(spark, path), SOUGHT)
 
 
@@ -58,7 +58,7 @@ JOIN w c ON c.doc = a.doc AND c.place = a.place + 4 AND c.token = 'anea' WHERE a
 def search_phrase(spark, sf):
     """A phrase with stop words in it, sought in a written index of places."""
     path = work_path(spark, "places")
-    ops.write_postings(ops.positions(table(spark, sf, "documents"), "doc_id", "text"), path)
+    ops.write_postings(ops.positions(table(spark, sf, "documents"), "doc_id", "text", ranged=True), path, ranged=True)
     return ops.search_phrase(ops.load_postings(spark, path), PHRASE)
 
 
