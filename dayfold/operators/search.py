@@ -13,28 +13,38 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import split_words
 from ..model import STOP_WORDS
+from ..session import MOST_PARTITIONS
 
 
-def _dealt(df: DataFrame, keys: Sequence[str], ranged: bool) -> DataFrame:
-    """Rows dealt by the keys they are grouped by next, to all partitions of the session.
+# Bytes of text whose words go to one range of an index, so that they are sorted in memory.
+TEXT_PER_RANGE = 8 << 20
+
+
+def _dealt(words: DataFrame, keys: Sequence[str], ranged: bool, df: DataFrame, text: str) -> DataFrame:
+    """Words dealt by the keys they are grouped by next: to all partitions of the session, or to as
+    many ranges as the texts ask for.
 
     Most words come once or twice in a document. Groups made before the shuffle would be nearly as
     many as the words of a task's whole input, and be spilled; adaptive execution would make too few
     and too large ones of the partitions after it.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(parts, "token", "doc") if ranged else df.repartition(parts, *keys)
+    if not ranged:
+        return words.repartition(parts, *keys)
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return words.repartitionByRange(min(MOST_PARTITIONS, max(parts, -(-size // TEXT_PER_RANGE))), "token", "doc")
 
 
 def postings(df: DataFrame, doc: str, text: str, ranged: bool = False) -> DataFrame:
     """Times that each document holds each token; common words are spread over all tasks.
 
     ``ranged`` deals words by ranges of (token, document), for ``write_postings``, which then has
-    nothing left to deal; the ranges are cut by a sample, so the texts are read twice.
+    nothing left to deal; their number follows the size of the texts and they are cut by a sample, so the texts are read
+    three times.
     """
     tokens = df.select(F.col(doc).alias("doc"), F.explode(split_words(text)).alias("token"))
     kept = tokens.filter((F.col("token") != "") & ~F.col("token").isin(STOP_WORDS))
-    return _dealt(kept, ["token", "doc"], ranged).groupBy("token", "doc").agg(F.count("*").alias("times"))
+    return _dealt(kept, ["token", "doc"], ranged, df, text).groupBy("token", "doc").agg(F.count("*").alias("times"))
 
 
 def write_postings(df: DataFrame, path: str, ranged: bool = False) -> None:
@@ -91,7 +101,7 @@ def positions(df: DataFrame, doc: str, text: str, ranged: bool = False) -> DataF
     words = F.filter(split_words(text), lambda word: word != "")
     places = df.select(F.col(doc).alias("doc"), F.posexplode(words).alias("place", "token"))
     kept = places.filter(~F.col("token").isin(STOP_WORDS)).withColumn("piece", F.floor(F.col("place") / PIECE_WORDS))
-    return _dealt(kept, ["token", "doc", "piece"], ranged).groupBy("token", "doc", "piece").agg(F.sort_array(F.collect_list("place")).alias("places"))
+    return _dealt(kept, ["token", "doc", "piece"], ranged, df, text).groupBy("token", "doc", "piece").agg(F.sort_array(F.collect_list("place")).alias("places"))
 
 
 def _places(index: DataFrame, tokens: Sequence[str]) -> DataFrame:
