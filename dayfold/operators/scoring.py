@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import TEMPLATE_SLOT, label_of_token, nonblank
 from ..session import work_path
-from ..sources.results import exists, remove
+from ..sources.results import exists
 from .keyed import keep_last, pending
 
 Scorer = Callable[[list[str]], Sequence[tuple[str, float, float]]]
@@ -25,6 +25,9 @@ SCORES = "__scores"
 ROWS_PER_TASK = 20_000
 ROWS_PER_SAVE = 1_000_000
 
+# Keys that one task holds at most, on average, to tell by them what is left of its rows.
+KEYS_PER_TASK = 500_000
+
 SCORE_FIELDS = [
     T.StructField("decoded_token", T.StringType()),
     T.StructField("prob_0", T.DoubleType()),
@@ -132,6 +135,34 @@ def load_scored(spark: SparkSession, path: str, schema: T.StructType) -> tuple[D
     return results(saved).drop("saved_at"), failures(saved)
 
 
+def _left(rows: DataFrame, only: DataFrame | None, done: DataFrame | None, keys: list[str]) -> DataFrame:
+    """Rows of the keys asked for that have no result."""
+    for others, how in ((only, "left_semi"), (done, "left_anti")):
+        if others is not None:
+            rows = rows.join(others, keys, how)
+    return rows
+
+
+def _dealt(
+    todo: DataFrame, only: DataFrame | None, done: DataFrame | None, keys: list[str], tasks: int, spread: list[str]
+) -> DataFrame:
+    """What is left of some rows, dealt to so many tasks.
+
+    If the tasks are no fewer than the session's partitions, and enough for the keys to fit them, rows
+    and keys (of the same types) are dealt alike and joined where they land: texts are shuffled once
+    and not sorted. If little is left, the joins keep the session's partitions and only what is left
+    is dealt to the few tasks.
+    """
+    others = [x for x in (only, done) if x is not None]
+    partitions = int(todo.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    alike = spread == keys and all(x.dtypes == todo.select(*keys).dtypes for x in others)
+    if alike and tasks >= partitions and all(x.count() <= tasks * KEYS_PER_TASK for x in others):
+        # The hint also keeps adaptive execution from a broadcast, after which it would deal rows anew.
+        only, done = (x if x is None else x.repartition(tasks, *keys).hint("shuffle_hash") for x in (only, done))
+        return _left(todo.repartition(tasks, *keys), only, done, keys)
+    return _left(todo, only, done, keys).repartition(tasks, *spread)
+
+
 def score_resumable(
     df: DataFrame,
     text: str,
@@ -139,37 +170,40 @@ def score_resumable(
     key: Sequence[str],
     path: str,
     rows_per_save: int = ROWS_PER_SAVE,
+    only: DataFrame | None = None,
     **options,
 ) -> tuple[DataFrame, DataFrame]:
     """Score rows that have no result under ``path`` yet, each task saving at most about ``rows_per_save``.
 
-    ``key`` names rows for good, such as file name and row number. What is left to do is written
-    once and dealt by a hash of the key, or of the columns of ``spread_by``, to as many tasks as
+    ``key`` names rows for good, such as file name and row number. What is left to do is counted by
+    its keys, then dealt by a hash of the key, or of the columns of ``spread_by``, to as many tasks as
     there are amounts to save; one job scores them all. A task's results are in place as soon as it
     ends (version 2 of the file committer), so a run that stops loses the tasks under way, and the
     next run skips whatever is saved. A task that is tried again replaces its own files. Failed rows
     are saved apart and tried again by the next run; of several errors of a row the last one is
-    returned.
+    returned. ``only`` holds keys: other rows are left to another run.
     """
     spark = df.sparkSession
     keys = list(key)
     spread = list(options.pop("spread_by", ()))
     todo = df.filter(nonblank(text))
-    if exists(spark, path):
-        done = _saved(spark, path, df.schema).filter(F.col("status") == "ok")
-        todo = pending(todo, done, keys)
-    staged = work_path(spark, "to-score")
-    todo.write.parquet(staged)
-    rows = spark.read.schema(df.schema).parquet(staged)
-    count = rows.count()
+    done = _saved(spark, path, df.schema).filter(F.col("status") == "ok").select(*keys) if exists(spark, path) else None
+    only = None if only is None else only.select(*keys)
+    count = _left(todo.select(*keys), only, done, keys).count()
     tasks = max(1, -(-count // min(rows_per_save, ROWS_PER_TASK)))
     if spread:
         tasks = max(tasks, scoring_tasks(spark, count))
-    scored = score(rows.repartition(tasks, *(spread or keys)), text, make_scorer, **options)
+    rows = _dealt(todo, only, done, keys, tasks, spread or keys).select(*df.columns)
+    scored = score(rows, text, make_scorer, **options)
     status = F.when(F.col("error").isNull(), "ok").otherwise("failed")
-    scored.withColumns({"saved_at": F.current_timestamp(), "status": status}).write.mode("append").option(
-        "mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("status").parquet(path)
-    remove(spark, staged)
+    (
+        scored.withColumns({"saved_at": F.current_timestamp(), "status": status})
+        .write.mode("append")
+        .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+        .option("compression", "zstd")
+        .partitionBy("status")
+        .parquet(path)
+    )
     saved, failed = load_scored(spark, path, df.schema)
     # A row that failed once and then got a result is no failure.
     return saved, pending(keep_last(failed, keys, ["saved_at", "error"]).drop("saved_at"), saved, keys)

@@ -59,9 +59,9 @@ def score_failures(spark, sf):
 def score_resumed(spark, sf):
     """Labelled documents are scored in a first run, the others in a second."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    labelled = docs.join(table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi")
+    labels = table(spark, sf, "labels")
     path = work_path(spark, "scored")
-    ops.score_resumable(labelled, "text", make_length_scorer, ["doc_id"], path, rows_per_save=400)
+    ops.score_resumable(docs, "text", make_length_scorer, ["doc_id"], path, rows_per_save=400, only=labels)
     done, _ = ops.score_resumable(docs, "text", make_length_scorer, ["doc_id"], path, rows_per_save=400)
     return _shown(done)
 

@@ -95,6 +95,49 @@ def test_all_amounts_are_saved_by_one_job(spark, frame, folder):
     assert jobs[0] == jobs[1] > 0
 
 
+@pytest.mark.parametrize("left", [30, 1])
+def test_a_second_run_deals_texts_once_and_copies_none(frame, folder, monkeypatch, capsys, left):
+    """What is left goes straight from the input to its tasks, with a shuffle of the texts if it fills them."""
+    seen, score, path = [], scoring.score, f"{folder}/out"
+    monkeypatch.setattr(scoring, "score", lambda rows_, *a, **b: seen.append(rows_) or score(rows_, *a, **b))
+    df = frame([(i, "bad" if i == 39 else "a") for i in range(40)] + [(None, "bb"), (39, "ccc")], "i int, t string")
+    run = lambda rows_, make: scoring.score_resumable(rows_, "t", make, ["i"], path, rows_per_save=1)
+    run(df.filter(F.col("i") < 40 - left), make_strict)
+    done, failed = run(df, make_scorer)
+    assert sorted(rows(done, "i", "t"), key=str) == sorted(
+        [(i, "a") for i in range(39)] + [(39, "ccc"), (None, "bb")], key=str)
+    # key 39 has a result, so its other row is no failure
+    assert failed.isEmpty()
+    kept = dict(rows(done, "i", "prob_1"))
+    assert all(kept[i] == (1.0 if i < 40 - left else 0.75) for i in range(40))
+    assert all(f"{folder}/out/" in f for f in seen[1].inputFiles())
+    if left == 30:
+        capsys.readouterr()
+        seen[1].explain()
+        plan = capsys.readouterr().out
+        assert plan.count("Exchange hashpartitioning") == 2 and "Broadcast" not in plan
+        second = done.filter("prob_1 = 0.75")
+        assert second.count() == 31 and second.select(F.input_file_name()).distinct().count() > 10
+
+
+@pytest.mark.parametrize("amount", [100, 1])
+def test_only_rows_of_some_keys_are_scored(frame, folder, monkeypatch, capsys, amount):
+    seen, score = [], scoring.score
+    monkeypatch.setattr(scoring, "score", lambda rows_, *a, **b: seen.append(rows_) or score(rows_, *a, **b))
+    df = frame([(i, "a") for i in range(20)] + [(None, "a"), (7, "bb")], "i int, t string")
+    only = frame([("x", i) for i in [*range(5, 15), 5, 5, 99, None]], "s string, i int")
+    run = lambda **more: scoring.score_resumable(df, "t", make_scorer, ["i"], f"{folder}/out", rows_per_save=amount, **more)
+    done, _ = run(only=only)
+    assert rows(done, "i", "t") == sorted([(i, "a") for i in range(5, 15)] + [(7, "bb")], key=repr)
+    capsys.readouterr()
+    seen[0].explain()
+    assert ("ShuffledHashJoin" in capsys.readouterr().out) == (amount == 1)
+    done, _ = run(only=only)
+    assert done.count() == 11
+    done, _ = run()
+    assert done.count() == 22
+
+
 def make_stopping():
     """A scorer whose process ends at one text, once other tasks have had their time."""
     import time
